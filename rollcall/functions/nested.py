@@ -43,81 +43,97 @@ def variant_id(c: Column | str) -> Column:
     return F.coalesce(F.try_variant_get(v, "$.id", "bigint"), F.try_variant_get(v, "$", "bigint"))
 
 
-def _typed_fields(json: Column) -> Column:
+def typed_fields(json: Column | str) -> Column:
     """Fields of a JSON object in document order: key, raw text, kind."""
-    kinds = F.map_entries(F.from_json(json, "map<string,variant>"))
-    texts = F.map_entries(F.from_json(json, LABELS))
+    text = as_column(json)
     return F.transform(
-        F.arrays_zip(texts.alias("t"), kinds.alias("k")),
+        F.arrays_zip(
+            F.map_entries(F.from_json(text, LABELS)).alias("texts"),
+            F.map_entries(F.from_json(text, "map<string,variant>")).alias("kinds"),
+        ),
         lambda e: F.struct(
-            e["0"]["key"].alias("key"),
-            e["0"]["value"].alias("text"),
-            F.schema_of_variant(e["1"]["value"]).alias("kind"),
+            e["texts"]["key"].alias("key"),
+            e["texts"]["value"].alias("text"),
+            F.schema_of_variant(e["kinds"]["value"]).alias("kind"),
         ),
     )
 
 
-def _typed_items(json: Column) -> Column:
+def typed_items(json: Column | str) -> Column:
     """Items of a JSON array in order: raw text, kind."""
+    text = as_column(json)
     return F.transform(
-        F.arrays_zip(F.from_json(json, "array<string>"), F.from_json(json, "array<variant>")),
+        F.arrays_zip(
+            F.from_json(text, "array<string>").alias("texts"),
+            F.from_json(text, "array<variant>").alias("kinds"),
+        ),
         lambda e: F.struct(
-            e["0"].alias("text"), F.schema_of_variant(e["1"]).alias("kind")
+            e["texts"].alias("text"), F.schema_of_variant(e["kinds"]).alias("kind")
         ),
     )
 
 
-def _is(kind: Column, name: str) -> Column:
-    return kind.startswith(name)
+def _first(items: Column) -> Column:
+    return F.get(items, F.lit(0))
 
 
-def _first_text(fields: Column) -> Column:
-    """First string field that is not blank, in document order."""
-    texts = F.filter(
-        fields, lambda f: _is(f["kind"], "STRING") & blank_to_null(f["text"]).isNotNull()
+def _texts(fields: Column) -> Column:
+    """Texts of the string fields; null where the field is blank or no string."""
+    return F.transform(
+        fields, lambda f: F.when(f["kind"] == "STRING", blank_to_null(f["text"]))
     )
-    return blank_to_null(F.get(texts, F.lit(0))["text"])
-
-
-def _named(fields: Column, key: str) -> Column:
-    return F.get(F.filter(fields, lambda f: f["key"] == key), F.lit(0))
 
 
-def _text_of(field: Column) -> Column:
-    return F.when(_is(field["kind"], "STRING"), blank_to_null(field["text"]))
+def _named(fields: Column, key: Column | str) -> Column:
+    return F.filter(fields, lambda f: f["key"] == key)
 
 
-def option_items(document: Column | str) -> Column:
-    """The options of a question document, as ``array<struct<text, kind>>``.
+def option_items(fields: Column | str) -> Column:
+    """The options among the fields of a question, as ``array<struct<text, kind>>``.
 
     The first known key that holds a list wins. If that list is empty or there is
     none, the first list of texts or objects anywhere in the document is taken.
     """
-    fields = _typed_fields(as_column(document))
-    lists = F.filter(fields, lambda f: _is(f["kind"], "ARRAY"))
-    known = _typed_items(F.coalesce(*[_named(lists, key)["text"] for key in OPTION_KEYS]))
+    lists = F.filter(as_column(fields), lambda f: f["kind"].startswith("ARRAY"))
+    known = typed_items(F.coalesce(*[_first(_named(lists, k))["text"] for k in OPTION_KEYS]))
     candidates = F.filter(
-        F.transform(lists, lambda f: _typed_items(f["text"])),
-        lambda items: F.coalesce(
-            F.get(items, F.lit(0))["kind"].rlike("^(STRING|OBJECT)"), F.lit(False)
-        ),
+        F.transform(lists, lambda f: typed_items(f["text"])),
+        lambda items: F.coalesce(_first(items)["kind"].rlike("^(STRING|OBJECT)"), F.lit(False)),
     )
-    return F.coalesce(F.when(F.size(known) > 0, known), F.get(candidates, F.lit(0)))
+    return F.coalesce(F.when(F.size(known) > 0, known), _first(candidates))
 
 
-def option_text(text: Column, kind: Column) -> Column:
-    """The readable text of one option; null if it has none."""
-    fields = _typed_fields(F.when(_is(kind, "OBJECT"), text))
+def option_label(fields: Column | str) -> Column:
+    """Readable text among the fields of one option; null if it has none.
 
-    def labelled(key: str) -> Column:
-        field = _named(fields, key)
-        languages = _typed_fields(F.when(_is(field["kind"], "OBJECT"), field["text"]))
-        return F.coalesce(
-            _text_of(field),
-            *[_text_of(_named(languages, language)) for language in TEXT_LANGUAGES],
-            _first_text(languages),
+    Known keys come first. Each may hold the text itself or its translations, of
+    which the preferred languages come before any other.
+    """
+    own = as_column(fields)
+
+    def translated(field: Column) -> Column:
+        per_field = F.transform(
+            F.array(typed_fields(F.when(field["kind"].startswith("OBJECT"), field["text"]))),
+            lambda languages: F.concat(
+                F.flatten(
+                    F.transform(
+                        F.array(*[F.lit(x) for x in TEXT_LANGUAGES]),
+                        lambda language: _texts(_named(languages, language)),
+                    )
+                ),
+                _texts(languages),
+            ),
+        )
+        return F.coalesce(_first(per_field), F.array().cast("array<string>"))
+
+    ranked = F.flatten(
+        F.transform(
+            F.array(*[F.lit(x) for x in TEXT_KEYS]),
+            lambda key: F.flatten(
+                F.transform(
+                    _named(own, key), lambda f: F.concat(_texts(F.array(f)), translated(f))
+                )
+            ),
         )
-
-    return F.when(_is(kind, "STRING"), blank_to_null(text)).otherwise(
-        F.coalesce(*[labelled(key) for key in TEXT_KEYS], _first_text(fields))
     )
+    return _first(F.filter(F.concat(ranked, _texts(own)), lambda t: t.isNotNull()))

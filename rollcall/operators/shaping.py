@@ -113,13 +113,11 @@ def widen(
     def fixed_column(name: str) -> Column:
         if name not in shadowed:
             return quoted(name)
-        text = F.lit(shadowed[name])
-        given = F.map_contains_key(quoted(answers), text)
-        answer = F.try_element_at(quoted(answers), text)
-        return F.when(given, answer).otherwise(quoted(name).cast("string")).alias(name)
+        given = F.map_contains_key(quoted(answers), shadowed[name])
+        return F.when(given, quoted(answers)[shadowed[name]]).otherwise(quoted(name).cast("string")).alias(name)
 
     spread = [
-        (F.try_element_at(quoted(answers), F.lit(text)) if text in known else F.lit("")).alias(name)
+        (quoted(answers)[text] if text in known else F.lit("")).alias(name)
         for text, name in columns.items()
         if name not in fixed
     ]

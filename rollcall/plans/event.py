@@ -16,7 +16,7 @@ from rollcall.operators.shaping import quoted, widen
 from rollcall.plans import camp_h, camp_l, camp_t, day_j
 from rollcall.plans.common import CARRIED, CountSpec, Family
 from rollcall.plans.spec import NUMBER, EventConfig, ReportSpec, run_spec
-from rollcall.session import configure
+from rollcall.session import configure, pin
 from rollcall.sinks.reports import (
     append_rows,
     check_manifest,
@@ -102,13 +102,24 @@ def clean_table(family: Family, raw: DataFrame, texts: list[str], config: EventC
     return family.clean(raw, texts, config)
 
 
+def needed_reports(family: Family, only: str | None) -> list[ReportSpec | CountSpec]:
+    """All reports, or one report with those it is made from, in building order."""
+    if only is None:
+        return list(family.reports)
+    by_name = {spec.name: spec for spec in family.reports}
+    chain = [by_name[only]]
+    while chain[0].source in by_name:
+        chain.insert(0, by_name[chain[0].source])
+    return chain
+
+
 def build_reports(
-    family: Family, clean: DataFrame, choices: DataFrame
+    family: Family, clean: DataFrame, choices: DataFrame, only: str | None = None
 ) -> dict[str, tuple[ReportSpec | CountSpec, DataFrame]]:
-    """All reports of a family over its clean table, in the order they build on each other."""
+    """The reports of a family over its clean table, each possibly made from earlier ones."""
     sources = {"clean": clean}
     built = {}
-    for spec in family.reports:
+    for spec in needed_reports(family, only):
         if isinstance(spec, CountSpec):
             df = spec.run(sources, choices)
         else:
@@ -129,7 +140,8 @@ def write_reports(
     spark, fmt = inputs.raw.sparkSession, config.report_format
     raw_name = "Raw_Data" if family is day_j.FAMILY else "Unsortiert/Rohdaten"
     raw = raw_report(inputs.raw, inputs.texts)
-    clean = clean_table(family, inputs.raw, inputs.texts, config)
+    # As columns, so that a report that needs few of them reads no more.
+    clean = pin(clean_table(family, inputs.raw, inputs.texts, config), "clean")
     reports = build_reports(family, clean, inputs.choices)
 
     written = [(raw_name, raw)]

@@ -29,8 +29,15 @@ def as_column(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove white space of any script from both ends."""
-    return F.btrim(as_column(c), F.lit(BLANKS))
+    """Remove white space of any script from both ends.
+
+    Trimming a set of characters walks the whole text; text that starts and ends
+    with a visible ASCII character, as most does, is told by its first and last byte.
+    """
+    text = as_column(c)
+    last = F.substring(text.cast("binary"), -1, 1)
+    visible = (text >= "!") & (text < "\x80") & (last >= b"!") & (last < b"\x80")
+    return F.when(visible, text).otherwise(F.btrim(text, F.lit(BLANKS)))
 
 
 def blank_to_null(c: Column | str) -> Column:

@@ -135,7 +135,7 @@ def invoice_and_place(df: DataFrame, places: Sequence[str], config: EventConfig)
     require(df, ["Krankenversicherung", "Einverständniserklärung", "Zuschuss beantragt",
                  "Sonstiges", "Essensunverträglichkeiten", "Notfall-Telefonnummern"])
     df = add_missing(df, places)
-    place = first_usable(*[quoted(p) for p in places], sentinel=OTHER_PLACE)
+    df = df.withColumn("Ort", first_usable(*[quoted(p) for p in places], sentinel=OTHER_PLACE))
     return df.withColumns(
         {
             "Rechnung - Empfänger": payee(F.col("Rechnung - Name"), F.col("Rechnung - Firma")),
@@ -144,7 +144,7 @@ def invoice_and_place(df: DataFrame, places: Sequence[str], config: EventConfig)
             ),
             "Krankenversicherung": map_values("Krankenversicherung", INSURANCE_WORDS),
             "Einverständniserklärung": mark_given("Einverständniserklärung", UPLOADED),
-            "Ort": map_values(place, {NO_PLACE: NO_PLACE_SHORT}),
+            "Ort": map_values("Ort", {NO_PLACE: NO_PLACE_SHORT}),
             "Bestellstatus": map_values("Bestellstatus", STATUS_WORDS),
             "Anmeldedatum": iso_minute_text("Anmeldedatum", config.time_zone),
         }
@@ -167,18 +167,21 @@ def town_reports(
     columns: Mapping[str, tuple[str, ...]], notes: Sequence[str]
 ) -> tuple[ReportSpec | CountSpec, ...]:
     """The reports of a town camp from its column lists and diet notes."""
+    going = (Where("Art", "differs", DONATION), NOT_CANCELLED)
     return (
         ReportSpec("Alles", "clean", columns["clean"], folder="Unsortiert", numbers="keep"),
         ReportSpec(
             "Teilnehmerdaten", "clean", columns["attendees"],
-            where=(Where("Art", "differs", DONATION), NOT_CANCELLED), order=BY_NAME, keep=ORDINAL,
+            where=going, order=BY_NAME, keep=ORDINAL,
+        ),
+        ReportSpec(
+            "Nach_Orten", "clean", columns["per_place"], where=going, order=BY_NAME, group="Ort"
         ),
-        ReportSpec("Nach_Orten", "Teilnehmerdaten", columns["per_place"], order=BY_NAME, group="Ort"),
         ReportSpec(
             "Zum_Teilen", "Nach_Orten", columns["per_place"], group="Ort", numbers="keep",
             redact=("Sonstiges",),
         ),
-        CountSpec("Anmeldezahlen", "Teilnehmerdaten", "Ort", "Ort", {"Anmeldungen": None}),
+        CountSpec("Anmeldezahlen", "clean", "Ort", "Ort", {"Anmeldungen": None}, where=going),
         ReportSpec(
             "Bestellungen", "clean", ORDERS, folder="Finanzen",
             step=order_step(ORDERS, "Zuschuss beantragt"), order=BY_STATUS, ties=("Bestellnummer",),

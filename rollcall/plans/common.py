@@ -17,7 +17,7 @@ from rollcall.operators.counting import (
     counts_per_choice,
 )
 from rollcall.operators.shaping import quoted, widen
-from rollcall.plans.spec import NUMBER, EventConfig, Ranked, ReportSpec, Where
+from rollcall.plans.spec import NUMBER, EventConfig, Ranked, ReportSpec, Where, filtered
 from rollcall.sources.registrations import FIXED_COLUMNS, ORDINAL
 
 # Status codes and their words, in the order reports sort them.
@@ -50,17 +50,24 @@ class CountSpec:
     categories: tuple[str, ...] | None = None
     total: str = TOTAL
     folder: str = ""
+    where: tuple[Where, ...] = ()
 
     @property
     def path(self) -> str:
         return f"{self.folder}/{self.name}" if self.folder else self.name
 
+    @property
+    def read(self) -> set[str]:
+        """Columns of the source this table is computed from."""
+        parts = [part[0] for part in self.measures.values() if part]
+        return {self.column, *parts, *[w.column for w in self.where]}
+
     def run(self, sources: Mapping[str, DataFrame], choices: DataFrame) -> DataFrame:
         measures = {
             m: None if part is None else Where(part[0], "contains", part[1]).condition()
             for m, part in self.measures.items()
         }
-        df = sources[self.source]
+        df = filtered(sources[self.source], self.where)
         if self.categories is None:
             counts = counts_per_choice(df, self.column, choices, measures, self.total)
         else:

@@ -117,15 +117,15 @@ FAMILY = Family(
     reports=(
         ReportSpec("Alle", "clean", SORTED, order=BY_PLACE, keep=ORDINAL),
         ReportSpec(
-            "Nach_Orten", "Alle", PER_PLACE, step=listed, group="Ortschaft", order=BY_PLACE[1:]
+            "Nach_Orten", "clean", PER_PLACE, step=listed, group="Ortschaft", order=BY_PLACE[1:]
         ),
-        CountSpec("Anmeldezahlen", "Alle", "Ortschaft", "Ortschaft", CLASSES),
+        CountSpec("Anmeldezahlen", "clean", "Ortschaft", "Ortschaft", CLASSES),
         CountSpec(
-            "Küche_Gesamtzahlen", "Alle", "Ernährung", "Ernährung", CLASSES,
+            "Küche_Gesamtzahlen", "clean", "Ernährung", "Ernährung", CLASSES,
             categories=DIETS, total="Gesamt",
         ),
         ReportSpec(
-            "Küche_Unverträglichkeiten", "Alle", INTOLERANCES,
+            "Küche_Unverträglichkeiten", "clean", INTOLERANCES,
             where=(Where("Essensunverträglichkeiten", "given"),),
             order=("Nachname", "Vorname", "Ortschaft", "Art"),
         ),

@@ -69,11 +69,13 @@ class Inputs:
 
 
 def number_tickets(flat: DataFrame) -> DataFrame:
-    """Tickets numbered from 0 in input order, pinned; incomplete pages fail."""
-    skeleton = F.col("position_pos").isNull()
-    pinned = number_rows(flat, [skeleton, *ORDINAL], into=NUMBER, start=0)
-    check_complete(pinned.select("page_no", "next"))
-    return require_rows(tickets(pinned))
+    """Tickets numbered from 0 in input order, pinned; incomplete pages fail.
+
+    Parsed once: range partitioning reads its input twice.
+    """
+    parsed = pin(flat, "flat")
+    check_complete(parsed.select("page_no", "next"))
+    return number_rows(require_rows(tickets(parsed)), ORDINAL, into=NUMBER, start=0)
 
 
 def read_inputs(spark: SparkSession, family: Family, landing: Landing) -> Inputs:
@@ -103,13 +105,13 @@ def clean_table(family: Family, raw: DataFrame, texts: list[str], config: EventC
 
 
 def needed_reports(family: Family, only: str | None) -> list[ReportSpec | CountSpec]:
-    """All reports, or one report with those it is made from, in building order."""
+    """All reports, or one with those it is made from, cut to what it shows of them."""
     if only is None:
         return list(family.reports)
     by_name = {spec.name: spec for spec in family.reports}
     chain = [by_name[only]]
     while chain[0].source in by_name:
-        chain.insert(0, by_name[chain[0].source])
+        chain.insert(0, by_name[chain[0].source].narrowed(chain[0].read))
     return chain
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +82,28 @@ class ReportSpec:
     def path(self) -> str:
         return f"{self.folder}/{self.name}" if self.folder else self.name
 
+    @property
+    def read(self) -> set[str]:
+        """Columns of the source this report is made from."""
+        keys = {k.column if isinstance(k, Ranked) else k for k in self.order}
+        group = {self.group} if self.group else set()
+        numbers = {NUMBER} if self.numbers == "keep" else set()
+        filters = {w.column for w in self.where}
+        return {*self.columns, *keys, *self.ties, *self.keep, *filters, *group, *numbers}
+
+    def narrowed(self, names: Iterable[str]) -> ReportSpec:
+        """The same report with fewer columns shown."""
+        wanted = set(names)
+        return replace(self, columns=tuple(c for c in self.columns if c in wanted))
+
+
+def filtered(df: DataFrame, where: Sequence[Where]) -> DataFrame:
+    """Rows that meet all conditions; the columns must exist."""
+    require(df, [w.column for w in where])
+    for w in where:
+        df = df.where(w.condition())
+    return df
+
 
 def lint(spec: ReportSpec, available: Sequence[str]) -> list[str]:
     """What a report asks for in vain, and what would make it fail."""
@@ -97,10 +119,7 @@ def lint(spec: ReportSpec, available: Sequence[str]) -> list[str]:
 
 def run_spec(spec: ReportSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     """The report as a table; with ``keep`` also the columns later reports sort by."""
-    df = sources[spec.source]
-    require(df, [w.column for w in spec.where])
-    for w in spec.where:
-        df = df.where(w.condition())
+    df = filtered(sources[spec.source], spec.where)
     if spec.step is not None:
         df = df.transform(spec.step)
 
@@ -111,16 +130,12 @@ def run_spec(spec: ReportSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     if spec.numbers == "keep":
         result = df.select(NUMBER, *map(quoted, [*spec.keep, *shown]))
     elif spec.order:
-        order: list[Column] = []
-        for key in spec.order:
-            order.append(
-                rank_of(quoted(key.column), key.values) if isinstance(key, Ranked) else quoted(key)
-            )
-        carried = [
-            c for c in dict.fromkeys([*spec.ties, *spec.keep]) if c not in shown
+        keys = [k.column if isinstance(k, Ranked) else k for k in spec.order]
+        order: list[Column] = [
+            rank_of(quoted(name), key.values) if isinstance(key, Ranked) else quoted(name)
+            for key, name in zip(spec.order, keys)
         ]
-        keys = [k.column for k in spec.order if isinstance(k, Ranked)]
-        carried += [c for c in keys if c not in shown and c not in carried]
+        carried = [c for c in dict.fromkeys([*spec.ties, *spec.keep, *keys]) if c not in shown]
         numbered = number_rows(
             df.select(*map(quoted, [*shown, *carried])),
             [*order, *map(quoted, spec.ties)],

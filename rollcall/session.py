@@ -7,8 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Runtime settings the results depend on.
-SEMANTIC_CONF = {
+#: Runtime settings the results, and the speed of wide tables, depend on.
+SETTINGS = {
     # Instants are formatted by shifting them to a zone, which needs a UTC session.
     "spark.sql.session.timeZone": "UTC",
     # A question answered twice keeps its last answer.
@@ -16,6 +16,9 @@ SEMANTIC_CONF = {
     # Hot keys are split at run time in sort-merge joins.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Generated methods beyond this size are never compiled by the JVM's JIT; wide
+    # clean-up steps run twice as fast in several smaller ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -25,7 +28,7 @@ def configure(spark: SparkSession, case_sensitive: bool = False) -> SparkSession
     ``case_sensitive`` is needed while question texts are column names, since
     ``email`` and ``Email`` may both be questions.
     """
-    for key, value in SEMANTIC_CONF.items():
+    for key, value in SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     if case_sensitive:

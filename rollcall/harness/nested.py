@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rollcall.functions.nested import pick_label, variant_id
 from rollcall.harness import documents
 from rollcall.harness.documents import ANSWERS_SQL, ORDERS_SQL, POSITIONS_SQL
-from rollcall.harness.registry import query, table
+from rollcall.harness.registry import query, spread, table
 from rollcall.operators.lookup import lookup_name, matching_rows
 from rollcall.operators.numbering import number_rows
 from rollcall.operators.shaping import pivot_last, widen
@@ -200,7 +200,7 @@ union select 'T' from e where event_type = 'signup'
 """)
 def choice_extract(spark, sf):
     """Readable options out of free-form question documents."""
-    events = table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k"))
+    events = spread(table(spark, sf, "events")).withColumn("k", F.get_json_object("props", "$.k"))
     return choice_texts(events.select(F.expr(OPTIONS).alias("document")))
 
 

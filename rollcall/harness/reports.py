@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.text import BLANKS
-from rollcall.harness.registry import query, table
+from rollcall.harness.registry import query, spread, table
 from rollcall.operators.counting import choice_frame
 from rollcall.operators.numbering import number_rows
 from rollcall.operators.shaping import quoted
@@ -130,8 +130,12 @@ def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
     lineitem, orders, customer, nation, part = (
         table(spark, sf, n) for n in ("lineitem", "orders", "customer", "nation", "part")
     )
+    lines = lineitem.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
+        "l_linestatus", "l_shipdate",
+    )
     joined = (
-        lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))

@@ -27,7 +27,14 @@ from rollcall.sources.registrations import FIXED_COLUMNS, ORDINAL
 PLACE = {
     "page_no": "l_orderkey",
     "order_pos": "cast(l_linenumber as bigint)",
-    "position_pos": "l_partkey * 100000000 + l_suppkey",
+    # Everything else of a line: what still ties is the same row twice.
+    "position_pos": " || '/' || ".join(
+        f"cast({c} as string)"
+        for c in (
+            "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate",
+            *(f"cast({n} as decimal(12,2))" for n in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+        )
+    ),
 }
 FIXED = {
     "order_code": "'B' || cast(o_orderkey as string)",
@@ -131,8 +138,8 @@ def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
         table(spark, sf, n) for n in ("lineitem", "orders", "customer", "nation", "part")
     )
     lines = lineitem.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag",
-        "l_linestatus", "l_shipdate",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
     joined = (
         spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))

@@ -125,7 +125,7 @@ def sorted_distinct(spark, sf):
 with pos as (
   select l_orderkey, max(case when l_returnflag = 'R' then 1 else 0 end) as any_r from lineitem group by l_orderkey),
 ship as (select l_orderkey, mode_flag from (select l_orderkey, l_returnflag as mode_flag, row_number() over
-  (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey) as rn from lineitem where l_returnflag <> 'N') where rn = 1)
+  (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_returnflag) as rn from lineitem where l_returnflag <> 'N') where rn = 1)
 select row_number() over (order by case o_orderstatus when 'O' then 0 when 'F' then 1 end asc nulls last,
     o_orderdate asc nulls last, o_orderkey) as "Nr",
   o_orderkey, o_orderstatus, cast(o_orderdate as varchar) as ordered, mode_flag as first_flag,
@@ -144,7 +144,7 @@ def orders_collapse(spark, sf):
         F.when(F.col("l_returnflag") == "R", "Ja").otherwise("Nein").alias("returned"),
     )
     positions = collapse(
-        lines, "l_orderkey", ["first_flag"], ["returned"], ["l_linenumber", "l_partkey", "l_suppkey"]
+        lines, "l_orderkey", ["first_flag"], ["returned"], ["l_linenumber", "l_partkey", "l_suppkey", "first_flag"]
     )
     orders = table(spark, sf, "orders").select(
         "o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("string").alias("ordered")

@@ -33,10 +33,8 @@ def not_blank(*columns: Column | str) -> Column:
 def map_values(c: Column | str, mapping: Mapping[str, object]) -> Column:
     """Replace exact values; everything else passes through."""
     source = as_column(c)
-    result = source
-    for old, new in reversed(mapping.items()):
-        result = F.when(source == old, F.lit(new)).otherwise(result)
-    return result
+    words = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    return F.coalesce(F.try_element_at(words, source), source)
 
 
 def mark_given(c: Column | str, mark: str) -> Column:
@@ -54,9 +52,8 @@ def first_usable(
     first: Column | str, second: Column | str, third: Column | str, sentinel: str
 ) -> Column:
     """First column unless null, empty or the sentinel; then second unless empty; then third."""
-    a, b = as_column(first), as_column(second)
-    usable = F.when((a != "") & (a != sentinel), a)
-    return F.coalesce(usable, F.nullif(b, F.lit("")), as_column(third))
+    usable = F.nullif(F.nullif(as_column(first), F.lit("")), F.lit(sentinel))
+    return F.coalesce(usable, F.nullif(as_column(second), F.lit("")), as_column(third))
 
 
 def rank_of(c: Column | str, ranked: Sequence[str]) -> Column:

@@ -147,12 +147,15 @@ def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
     )
-    pairs = [c for q, a in answered_by(family).items() for c in (F.lit(q), F.expr(ANSWERS[a]))]
-    return joined.select(
-        *[F.expr(e).alias(c) for c, e in PLACE.items()],
-        F.lit(0).cast("bigint").alias(NUMBER),
-        *[F.expr(FIXED[c]).alias(c) for c in FIXED_COLUMNS],
-        F.create_map(*pairs).alias("answers"),
+    derived = joined.select(
+        *[F.expr(e).alias(c) for c, e in (PLACE | FIXED | ANSWERS).items()]
+    )
+    questions = answered_by(family)
+    answers = F.map_from_arrays(
+        F.array(*[F.lit(t) for t in questions]), F.array(*[F.col(a) for a in questions.values()])
+    )
+    return derived.select(
+        *PLACE, F.lit(0).cast("bigint").alias(NUMBER), *FIXED_COLUMNS, answers.alias("answers")
     )
 
 

@@ -55,7 +55,9 @@ def counts_per_choice(
     total = observed.agg(
         *[F.coalesce(F.sum(quoted(m)), F.lit(0)).alias(m) for m in measures]
     ).select(F.lit(total_label).alias(LABEL), F.lit(0).cast("bigint").alias(POSITION), *map(quoted, measures))
-    listed = choices.join(observed, F.col(LABEL) == F.col("__group"), "left").select(
+    # Null-safe, or else a not-null filter would be pushed down and clean every value twice.
+    same = F.col(LABEL).eqNullSafe(F.col("__group"))
+    listed = choices.join(observed, same, "left").select(
         LABEL, POSITION, *[F.coalesce(quoted(m), F.lit(0)).alias(m) for m in measures]
     )
     return total.unionByName(listed)

@@ -110,14 +110,18 @@ def widen(
     if shadowed and collisions == "raise":
         raise ValueError(f"question texts equal fixed columns: {sorted(shadowed)}")
 
+    def answer(text: str) -> Column:
+        # Unlike map[key], which Spark takes for free, this is not repeated per use.
+        return F.try_element_at(quoted(answers), F.lit(text))
+
     def fixed_column(name: str) -> Column:
         if name not in shadowed:
             return quoted(name)
         given = F.map_contains_key(quoted(answers), shadowed[name])
-        return F.when(given, quoted(answers)[shadowed[name]]).otherwise(quoted(name).cast("string")).alias(name)
+        return F.when(given, answer(shadowed[name])).otherwise(quoted(name).cast("string")).alias(name)
 
     spread = [
-        (quoted(answers)[text] if text in known else F.lit("")).alias(name)
+        (answer(text) if text in known else F.lit("")).alias(name)
         for text, name in columns.items()
         if name not in fixed
     ]

@@ -16,7 +16,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from rollcall.llm.words import Words, buffers, positions, rolling, small, span_hashes, words_of
+from rollcall.llm.words import (
+    Words, buffers, covered, lines_of, repeats_in_groups, rolling, small, span_hashes, sums, windows, words_of,
+)
 
 #: From so many bytes on, the least and the largest share that compression may leave.
 BANDS = (
@@ -76,48 +78,9 @@ def quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(judge, SCHEMA)
 
 
-def repeats_in_groups(keys: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each key, whether its group holds it more than once, and whether this is not its first place."""
-    mixed = rolling(np.stack([keys, group.astype(np.uint64)], axis=1).ravel(), np.arange(0, 2 * len(keys), 2), np.arange(2, 2 * len(keys) + 2, 2))
-    order = np.argsort(mixed, kind="stable")
-    ordered = mixed[order]
-    same = np.empty(len(keys) + 1, dtype=bool)
-    same[0] = same[-1] = False
-    same[1:-1] = ordered[1:] == ordered[:-1]
-    twice, later = np.empty(len(keys), dtype=bool), np.empty(len(keys), dtype=bool)
-    twice[order], later[order] = same[1:] | same[:-1], same[:-1]
-    return twice, later
-
-
-def covered(starts: np.ndarray, length: int, total: int) -> np.ndarray:
-    """Which of ``total`` places lie in a window of ``length`` from one of ``starts``."""
-    edges = np.zeros(total + 1, dtype=np.int64)
-    np.add.at(edges, starts, 1)
-    np.add.at(edges, starts + length, -1)
-    return np.cumsum(edges[:-1]) > 0
-
-
-def windows(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """First word and document of each window of so many words within one document."""
-    per_doc = np.maximum(words.counts - length + 1, 0)
-    return np.repeat(words.first[:-1], per_doc) + positions(per_doc), np.repeat(np.arange(len(per_doc)), per_doc)
-
-
-def _sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Number of set flags between neighbouring offsets."""
-    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
-
-
-def _duplicate_lines(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarray:
-    breaks = np.flatnonzero(data == 10)
-    starts = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
-    ends = np.append(starts[1:], len(data))
-    ends = np.where((ends > starts) & (ends > 0) & (data[np.maximum(ends, 1) - 1] == 10), ends - 1, ends)
-    with_word = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
-    starts, ends = starts[with_word], ends[with_word]
-    doc = np.searchsorted(offsets, starts, side="right") - 1
-    _, later = repeats_in_groups(span_hashes(data, starts, ends), doc)
+def _duplicate_lines(words: Words, offsets: np.ndarray) -> np.ndarray:
+    starts, ends, doc = lines_of(words, offsets)
+    _, later = repeats_in_groups(span_hashes(words.data, starts, ends), doc)
     return np.bincount(doc[later], minlength=len(offsets) - 1)
 
 
@@ -138,10 +101,10 @@ def _base(column: pa.Array, rules: Rules) -> dict[str, np.ndarray]:
     repeated = covered(at[twice], rules.window, len(words.starts))
     return {
         "n_words": words.counts,
-        "word_chars": _sums(character & ~blank, offsets),
-        "n_symbols": _sums(symbol[data], offsets),
-        "n_dup_lines": _duplicate_lines(data, offsets, words),
-        "n_repeat_words": _sums(repeated, words.first),
+        "word_chars": sums(character & ~blank, offsets),
+        "n_symbols": sums(symbol[data], offsets),
+        "n_dup_lines": _duplicate_lines(words, offsets),
+        "n_repeat_words": sums(repeated, words.first),
     }
 
 

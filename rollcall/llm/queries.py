@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import compression, simhash, substrings
+from rollcall.llm import chat, compression, line_field, secrets, simhash, substrings
 from rollcall.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,3 +37,25 @@ def op4_ball_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_doubling_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without windows of 20 words that also start earlier."""
     return substrings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), length=20, with_text=False)
+
+
+@query
+def op7_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one made of marks, rendered and read back."""
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    events = chat.events_of_turns(turns.unionByName(chat.hostile_turns(spark)))
+    return chat.digests(chat.format_conversations(events))
+
+
+@query
+def op9_token_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of known form and random strings in every document."""
+    return secrets.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op10_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from a field over its lines."""
+    return line_field.quality(
+        table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality")
+    )

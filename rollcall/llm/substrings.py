@@ -27,8 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollcall.llm.compression import covered, repeats_in_groups, windows
-from rollcall.llm.words import Words, mix, positions, rolling, small, words_of
+from rollcall.llm.words import Words, covered, mix, positions, repeats_in_groups, rolling, small, sums, windows, words_of
 from rollcall.session import pin
 
 #: Second seed, for the wider hash of spans and full windows.
@@ -212,7 +211,6 @@ def _kept(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
             gone = np.zeros(total, dtype=bool)
             for name in ("spans", "singles"):
                 gone |= covered(_windows_in(batch.column(name), words, length, gone=True)[0], length, total)
-            sums = np.concatenate([[0], np.cumsum(gone, dtype=np.int64)])
             data, digests, kept = words.data.tobytes(), [], []
             starts, ends = words.starts.tolist(), words.ends.tolist()
             for lo, hi in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
@@ -223,7 +221,7 @@ def _kept(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()), pa.array(words.counts.astype(np.int64)),
-                    pa.array(sums[words.first[1:]] - sums[words.first[:-1]]),
+                    pa.array(sums(gone, words.first)),
                     pa.array(digests, pa.string()), pa.array(kept, pa.string()),
                 ],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"],

@@ -142,3 +142,48 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int = 4 << 2
                 n = max(1, n // 2)
             yield batch.slice(lo, n)
             lo += n
+
+
+def lines_of(words: Words, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document of each line that has a word; lines end at ``\\n``."""
+    data = words.data
+    starts = np.unique(np.concatenate([offsets[:-1], np.flatnonzero(data == 10) + 1]))
+    ends = np.append(starts[1:], len(data))
+    ends = np.where((ends > starts) & (data[np.maximum(ends, 1) - 1] == 10), ends - 1, ends) if len(data) else ends
+    solid = np.searchsorted(words.starts, ends) > np.searchsorted(words.starts, starts)
+    starts, ends = starts[solid], ends[solid]
+    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
+
+
+def repeats_in_groups(keys: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each key, whether its group holds it more than once, and whether this is not its first place."""
+    pairs = np.stack([keys, group.astype(np.uint64)], axis=1).ravel()
+    at = np.arange(0, len(pairs), 2)
+    mixed = rolling(pairs, at, at + 2)
+    order = np.argsort(mixed, kind="stable")
+    ordered = mixed[order]
+    same = np.zeros(len(keys) + 1, dtype=bool)
+    same[1:-1] = ordered[1:] == ordered[:-1]
+    twice, later = np.empty(len(keys), dtype=bool), np.empty(len(keys), dtype=bool)
+    twice[order], later[order] = same[1:] | same[:-1], same[:-1]
+    return twice, later
+
+
+def windows(words: Words, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and document of each window of so many words within one document."""
+    per_doc = np.maximum(words.counts - length + 1, 0)
+    return np.repeat(words.first[:-1], per_doc) + positions(per_doc), np.repeat(np.arange(len(per_doc)), per_doc)
+
+
+def covered(starts: np.ndarray, length: int, total: int) -> np.ndarray:
+    """Which of ``total`` places lie in a window of ``length`` from one of ``starts``."""
+    edges = np.zeros(total + 1, dtype=np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, starts + length, -1)
+    return np.cumsum(edges[:-1]) > 0
+
+
+def sums(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sum of the values between neighbouring offsets."""
+    total = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
+    return total[offsets[1:]] - total[offsets[:-1]]

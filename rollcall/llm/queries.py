@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import chat, compression, line_field, secrets, simhash, substrings
+from rollcall.llm import chat, compression, line_field, mixing, packing, secrets, simhash, substrings, url_cascade
 from rollcall.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,55 @@ def op10_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_field.quality(
         table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "quality")
     )
+
+
+URL_RULES = (
+    url_cascade.Rule("allow", "org", "/"), url_cascade.Rule("block", "example.org", "/es/"),
+    url_cascade.Rule("block", "example.org", "/en/1"), url_cascade.Rule("allow", "com", "/fr/"),
+    url_cascade.Rule("block", "com", "/de/"),
+)
+LISTED = tuple(
+    f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+    for top in ("com", "net", "org")
+)
+
+
+@query
+def op8_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for the url of every page."""
+    return url_cascade.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES, url_cascade.domain_table(spark, LISTED))
+
+
+def _fits_sql(rule: url_cascade.Rule) -> str:
+    return f"(host = '{rule.host}' or ends_with(host, '.{rule.host}')) and starts_with(path, '{rule.path}')"
+
+
+_LONGEST_FIRST = sorted(URL_RULES, key=lambda r: -len(r.shown))
+_LISTED_SQL = " or ".join(f"host = '{d}' or ends_with(host, '.{d}')" for d in LISTED)
+
+SQL["op8_url_cascade"] = f"""
+with cut as (
+  select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages
+), parts as (
+  select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from cut
+), listed as (select *, ({_LISTED_SQL}) as listed from parts)
+select page_id, host, path,
+  case {' '.join(f"when {_fits_sql(r)} then '{r.shown}'" for r in _LONGEST_FIRST)} end as rule,
+  case {' '.join(f"when {_fits_sql(r)} then '{r.verdict}'" for r in _LONGEST_FIRST)} when listed then 'block' else 'allow' end as verdict,
+  listed
+from listed
+"""
+
+
+@query
+def op6_block_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mixture of all documents, weighted by source, takes from each."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    return mixing.taken(mixing.mix(docs.select("doc_id", "source", mixing.words_in(docs.text).alias("size"))))
+
+
+@query
+def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), packing.Settings(shards=40))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from rollcall.llm.tables import dealt
 from rollcall.llm.words import WORD
 from rollcall.session import pin
 
@@ -38,7 +39,7 @@ class Settings:
     block_words: int = 64
     shards: int = 64
     #: Rows of a source that are laid end to end in one task.
-    rows_per_part: int = 20_000
+    rows_per_part: int = 5_000
     seed: int = 42
 
 
@@ -129,7 +130,7 @@ def mix(sizes: DataFrame, settings: Settings = Settings()) -> Mixture:
     wanted = F.least(F.round(F.col("target") / F.col("source_size") * n), settings.most * n)
     slot = x + turn * n
     slots = (
-        cut.withColumn("wanted", wanted)
+        dealt(cut, "sid", "part").withColumn("wanted", wanted)
         .withColumn("x", F.explode(F.sequence(F.col("offset"), F.col("offset") + F.col("blocks") - 1)))
         .withColumn("turn", F.explode(F.array(*map(F.lit, range(settings.most)))))
         .where(slot < F.col("wanted"))
@@ -143,7 +144,7 @@ def mix(sizes: DataFrame, settings: Settings = Settings()) -> Mixture:
     first, last = F.floor(F.col("at") / width), F.floor((F.col("at") + F.col("size") - 1) / width)
     end = F.col("at") + F.col("size")
     pieces = (
-        rows.where("size > 0").select("sid", "part", "at", "size", F.explode(F.sequence(first, last)).alias("k"))
+        dealt(rows.where("size > 0"), "sid", "part", "at").select("sid", "part", "at", "size", F.explode(F.sequence(first, last)).alias("k"))
         .join(cut.select("sid", "part", "offset"), ["sid", "part"])
         .select(
             "sid", "part", "at", (F.col("offset") + F.col("k")).alias("block"),
@@ -156,7 +157,8 @@ def mix(sizes: DataFrame, settings: Settings = Settings()) -> Mixture:
 
 def drawn(mixture: Mixture) -> DataFrame:
     """``sid, part, at, lo, hi, turn, shard, place``: pieces of rows in the blocks that are drawn."""
-    return mixture.pieces.join(mixture.slots, ["sid", "block"]).drop("block", "slot")
+    # The slots come from few rows, by which Spark would judge them small enough to broadcast.
+    return mixture.pieces.join(mixture.slots.hint("merge"), ["sid", "block"]).drop("block", "slot")
 
 
 def taken(mixture: Mixture) -> DataFrame:

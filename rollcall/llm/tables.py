@@ -8,3 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table; others are never read."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
+
+
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by key to as many tasks as a shuffle has.
+
+    For few rows that each become many: adaptive execution would judge the few rows small
+    and put them into one task.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

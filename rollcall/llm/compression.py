@@ -108,6 +108,17 @@ def _base(column: pa.Array, rules: Rules) -> dict[str, np.ndarray]:
     }
 
 
+def good_rows(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; nothing is joined."""
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=rules.level, write_content_size=False).compress
+        for batch in small(batches):
+            yield batch.filter(_judge(batch, rules, compress).column("kept"))
+
+    return docs.mapInArrow(sift, docs.schema)
+
+
 def limits(size: int, bands: Sequence[tuple[int, float, float]]) -> tuple[float, float]:
     """Least and largest ratio for a text of so many bytes."""
     low, high = 0.0, float("inf")

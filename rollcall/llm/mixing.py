@@ -168,3 +168,29 @@ def taken(mixture: Mixture) -> DataFrame:
     full = rows.where("size > 0").join(counted, ["sid", "part", "at"], "left")
     none = rows.where("size = 0").withColumn("taken", F.lit(0).cast("bigint"))
     return full.unionByName(none).select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+
+
+def mixed_texts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """What the mixture takes, with the columns of ``docs``: a row for each document and turn.
+
+    Its text is the words taken in that turn, joined by one space; the text as it is where
+    all are. ``n_chars``, if there, is the length of the new text. Documents of which nothing is taken are gone.
+    Repeated rows are documents of their own.
+    """
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "source", "text"))
+    mixture = mix(keyed.select("doc_id", "source", words_in(F.col("text")).alias("size"), "__key"), settings)
+    place = ["sid", "part", "at"]
+    spans = drawn(mixture).groupBy(*place, "turn").agg(
+        F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__spans"), F.sum(F.col("hi") - F.col("lo")).alias("__words")
+    )
+    own = mixture.rows.where("size > 0").select(*place, F.col("__key").alias("__own"), F.col("size").alias("__size"))
+    spans = own.join(spans, place).select("__own", "__size", "__spans", "__words")
+    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    taken = F.flatten(
+        F.transform("__spans", lambda s: F.slice(words, (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))
+    )
+    text = F.when(F.col("__words") == F.col("__size"), F.col("text")).otherwise(F.array_join(taken, " "))
+    out = keyed.dropDuplicates(["__key"]).join(spans, F.col("__key") == F.col("__own")).withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)

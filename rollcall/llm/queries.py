@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import chat, compression, line_field, mixing, packing, secrets, simhash, substrings, url_cascade
+from rollcall.llm import (
+    chat, compression, latent, line_field, mixing, packing, secrets, simhash, substrings, url_cascade,
+)
 from rollcall.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +113,11 @@ def op6_block_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), packing.Settings(shards=40))
+
+
+@query
+def op5_latent_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, and the item."""
+    return latent.leaks(
+        table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text")
+    )

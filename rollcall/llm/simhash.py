@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollcall.llm.components import components
+from rollcall.llm.tables import dealt
 from rollcall.llm.words import small
 from rollcall.session import pin
 
@@ -55,17 +56,18 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` of each row. A null text, or one without words, has fingerprint zero."""
+    """``(doc_id, text_hash, fp)`` of each row. A null text, or one without words, has fingerprint zero."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             texts = batch.column("text").fill_null("").cast(pa.binary())
             found = [fingerprint(t.as_py(), shingle) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(found, pa.int64())], names=["doc_id", "fp"]
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(found, pa.int64())], names=["doc_id", "text_hash", "fp"]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(of, "doc_id bigint, fp bigint")
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return keyed.mapInArrow(of, "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def _signed(x: int) -> int:
@@ -103,7 +105,7 @@ def links(fps: DataFrame, distance: int = 3, parts: int = 3) -> DataFrame:
     link leaves it about once. More parts mean more rows and fewer chance members.
     """
     each = F.array(*[F.struct(F.lit(p).alias("part"), F.lit(k).alias("keep"), F.lit(f).alias("flip")) for p, k, f in variants(distance, parts)])
-    emitted = fps.select("fp", F.explode(each).alias("x")).select(
+    emitted = dealt(fps, "fp").select("fp", F.explode(each).alias("x")).select(
         F.col("x.part").alias("part"),
         F.col("fp").bitwiseAND(F.col("x.keep")).bitwiseXOR(F.col("x.flip")).alias("variant"),
         "fp",
@@ -132,6 +134,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, parts:
     component; rows with a null id take part, and it is null if all ids are. Repeated
     rows stay. An empty table gives no rows.
     """
+    known, of_fp = _components(docs, shingle, distance, parts)
+    return known.join(of_fp, "fp").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def _components(docs: DataFrame, shingle: int, distance: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """The fingerprint of each row, and root and least id of each fingerprint's component."""
     known = pin(fingerprints(docs, shingle), "fingerprints")
     distinct = known.groupBy("fp").agg(F.min("doc_id").alias("least"))
     rooted = components(links(distinct.select("fp"), distance, parts), "fingerprints")
@@ -139,8 +147,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, parts:
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     ids = found.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = found.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return known.join(of_fp, "fp").select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+    return known, found.select("fp", "root").join(ids, "root")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3, parts: int = 3) -> DataFrame:
+    """One row of ``docs`` per component, with all its columns: that of least id.
+
+    Rows without an id come last; among equal ids the text of least hash stays, and of
+    repeated rows any one.
+    """
+    known, of_fp = _components(docs, shingle, distance, parts)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    kept = known.join(of_fp, "fp").groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias("__id"), F.col("first.text_hash").alias("__hash")
+    )
+    keyed = docs.withColumn("__text_hash", F.xxhash64("text"))
+    same = keyed["__text_hash"].eqNullSafe(kept["__hash"]) & keyed["doc_id"].eqNullSafe(kept["__id"])
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__text_hash"]).drop("__text_hash")
 
 
 def hexadecimal(value: Column) -> Column:

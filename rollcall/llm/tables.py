@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -16,4 +17,5 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
     For few rows that each become many: adaptive execution would judge the few rows small
     and put them into one task.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    # By a hash of the keys, which no partitioning by the keys themselves makes superfluous.
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*keys))

@@ -1,14 +1,32 @@
-"""Input tables, and the session settings the operators of this package need."""
+"""Input tables, and what tasks need to work on them."""
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give this package to the Python workers, once per application; they may run anywhere."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name = os.path.join(tempfile.mkdtemp(prefix="run-"), os.path.basename(package))
+        spark.sparkContext.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package)))
+        _SHIPPED.add(app)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table; others are never read."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
+    return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
 def dealt(df: DataFrame, *keys: str) -> DataFrame:

@@ -30,15 +30,17 @@ class Settings:
     #: Words of a passage; a text without sentence ends gets one every ``longest`` words.
     words: int = 12
     longest: int = 24
-    rank: int = 48
+    rank: int = 64
     oversample: int = 8
     iterations: int = 2
     #: The directions are fitted on documents of about so many bytes in all, chosen by a hash;
     #: document frequencies count every passage, and every passage is searched.
     fit_bytes: int = 16 << 20
     #: Least cosine of a candidate, and words its passage shares in order with the item's.
-    cosine: float = 0.85
+    cosine: float = 0.87
     shared: int = 7
+    #: Of 64 bits that the words of a passage set, so many are common with the item's.
+    bits: int = 5
     #: Share of an item's words that a document holds in order: enough alone, or with the answer.
     whole: float = 0.8
     partial: float = 0.6
@@ -85,6 +87,8 @@ def _passages(words: Words, stops: np.ndarray, settings: Settings) -> tuple[np.n
 
 def _rows(at: np.ndarray, doc: np.ndarray, words: Words, values: np.ndarray, length: int, nothing: int) -> np.ndarray:
     """The values of the words of each passage, last word last; before the text begins ``nothing``."""
+    if not len(at):
+        return np.empty((0, length), dtype=values.dtype)
     index = at[:, None] + np.arange(1 - length, 1)
     return np.where(index >= words.first[doc][:, None], values[np.maximum(index, 0)], nothing)
 
@@ -93,7 +97,7 @@ def _terms_of(column: pa.Array, settings: Settings):
     words, hashes, stops = _normal(column)
     at, doc = _passages(words, stops, settings)
     terms = (hashes % np.uint64(settings.terms)).astype(np.int32)
-    return words, hashes, at, doc, _rows(at, doc, words, terms, settings.words, settings.terms) if len(at) else np.empty((0, settings.words), np.int32)
+    return words, hashes, at, doc, _rows(at, doc, words, terms, settings.words, settings.terms)
 
 
 def _document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarray, int]:
@@ -208,6 +212,7 @@ class Items:
     item: np.ndarray
     at: np.ndarray
     rows: np.ndarray
+    bits: np.ndarray
     vectors: np.ndarray
 
 
@@ -227,20 +232,31 @@ def _items(rows: list, index: Index) -> Items:
         ends = np.flatnonzero(stops[lo:hi][:-1])
         lists.append(own)
         answers.append(int(ends[-1]) + 1 if len(ends) else 0)
-    wide = _rows(at, doc, words, hashes, settings.words, 0) if len(at) else np.empty((0, settings.words), np.uint64)
-    vectors = _unit(_embedded(_rows(at, doc, words, terms, settings.words, settings.terms), index.projection)) if len(at) else np.empty((0, settings.rank), np.float32)
-    return Items([r.item_id for r in rows], lists, answers, doc, at - words.first[doc] + 1, wide, vectors)
+    wide = _rows(at, doc, words, _narrow(hashes), settings.words, 0)
+    vectors = _unit(_embedded(_rows(at, doc, words, terms, settings.words, settings.terms), index.projection))
+    return Items([r.item_id for r in rows], lists, answers, doc, at - words.first[doc] + 1, wide, _bits(wide), vectors)
+
+
+def _narrow(hashes: np.ndarray) -> np.ndarray:
+    """31 bits of each hash, never zero."""
+    return (hashes >> np.uint64(33)).astype(np.int32) | 1
+
+
+def _bits(rows: np.ndarray) -> np.ndarray:
+    """A bit of 64 for each word of a row."""
+    bits = np.left_shift(np.uint64(1), (rows >> 1 & 63).astype(np.uint64))
+    return np.bitwise_or.reduce(np.where(rows != 0, bits, np.uint64(0)), axis=1)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Length of the longest common subsequence of each row of ``a`` with that of ``b``; zeros match nothing."""
     n, length = a.shape
+    a, b = np.ascontiguousarray(a.T), np.ascontiguousarray(np.where(b == 0, -1, b).T)
     above = np.zeros((length + 1, n), dtype=np.int8)
     for i in range(length):
         row = np.zeros((length + 1, n), dtype=np.int8)
         for j in range(length):
-            same = (a[:, i] == b[:, j]) & (a[:, i] != 0)
-            row[j + 1] = np.maximum(np.maximum(row[j], above[j + 1]), above[j] + same)
+            row[j + 1] = np.maximum(np.maximum(row[j], above[j + 1]), above[j] + (a[i] == b[j]))
         above = row
     return above[length]
 
@@ -269,15 +285,16 @@ def _found(batch: pa.RecordBatch, index: Index, items: Items) -> dict[tuple[int,
     """Share, answer and cosine of each leak, by row of the batch and item."""
     settings = index.settings
     words, hashes, at, doc, terms = _terms_of(batch.column("text"), settings)
+    narrow = _narrow(hashes)
     best: dict[tuple[int, int], tuple[float, bool, float]] = {}
-    for lo in range(0, len(at), 4096):
+    for lo in range(0, len(at) if len(items.at) else 0, 4096):
         part = slice(lo, lo + 4096)
         cosine = _unit(_embedded(terms[part], index.projection)) @ items.vectors.T
-        p, q = np.nonzero(cosine >= settings.cosine)
-        if not len(p):
-            continue
-        wide = _rows(at[part][p], doc[part][p], words, hashes, settings.words, 0)
-        close = _common(wide, items.rows[q]) >= np.minimum(settings.shared, items.at[q])
+        p, q = np.divmod(np.flatnonzero(cosine >= settings.cosine), len(items.at))
+        rows = _rows(at[part], doc[part], words, narrow, settings.words, 0)
+        alike = np.bitwise_count(_bits(rows)[p] & items.bits[q]) >= np.minimum(settings.bits, items.at[q])
+        p, q = p[alike], q[alike]
+        close = _common(rows[p], items.rows[q]) >= np.minimum(settings.shared, items.at[q])
         for i, j in zip((p[close] + lo).tolist(), q[close].tolist()):
             item, d = int(items.item[j]), int(doc[i])
             own = items.words[item]

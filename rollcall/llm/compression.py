@@ -24,13 +24,13 @@ from rollcall.llm.words import (
 BANDS = (
     (0, 0.0, 99.0),
     (256, 0.30, 0.95),
-    (512, 0.28, 0.88),
-    (1024, 0.26, 0.82),
-    (2048, 0.25, 0.80),
-    (4096, 0.24, 0.78),
-    (8192, 0.23, 0.77),
-    (16384, 0.20, 0.76),
-    (262144, 0.15, 0.75),
+    (512, 0.28, 0.85),
+    (1024, 0.26, 0.78),
+    (2048, 0.25, 0.74),
+    (4096, 0.24, 0.70),
+    (8192, 0.23, 0.68),
+    (16384, 0.20, 0.66),
+    (262144, 0.15, 0.65),
 )
 
 

@@ -34,8 +34,9 @@ class Settings:
     row_bytes: int = 16
     #: Groups with more than this part of a shard in any dimension are placed by themselves.
     single: float = 1 / 64
-    #: Groups with more than this part of a shard are cut into pieces of at most about that.
+    #: Groups with more than this part of a shard are cut, into pieces of about that part.
     cut: float = 0.5
+    piece: float = 1 / 16
     #: Bundles for all other groups.
     bundles: int = 8192
     #: Rows numbered in one task.
@@ -87,9 +88,11 @@ def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     totals = rows.agg(*_sums()).first()
     totals = np.array([totals[d] or 0 for d in DIMENSIONS], dtype=float)
     share = F.greatest(*[F.col(d) / F.lit(max(t, 1.0)) for d, t in zip(DIMENSIONS, totals)]) * shards
-    # Shares of one dimension sum up to the number of shards, so at most 3 * shards / single rows.
+    # Shares of one dimension sum up to the number of shards, so at most 3 * shards / single rows,
+    # and as many pieces as 3 * shards / piece besides.
     single = rows.groupBy("text_hash").agg(*_sums()).where(share > settings.single)
-    single = single.select("text_hash", F.ceil(share / settings.cut).alias("pieces"))
+    pieces = F.when(share > settings.cut, F.ceil(share / settings.piece)).otherwise(F.lit(1).cast("bigint"))
+    single = single.select("text_hash", pieces.alias("pieces"))
     salt = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("pieces"))
     united = rows.join(F.broadcast(pin(single, "single")), "text_hash", "left").select(
         "doc_id", "bytes", "tokens", "text_crc32",

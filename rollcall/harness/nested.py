@@ -200,7 +200,7 @@ union select 'T' from e where event_type = 'signup'
 """)
 def choice_extract(spark, sf):
     """Readable options out of free-form question documents."""
-    events = spread(table(spark, sf, "events")).withColumn("k", F.get_json_object("props", "$.k"))
+    events = spread(table(spark, sf, "events"), "event_id").withColumn("k", F.get_json_object("props", "$.k"))
     return choice_texts(events.select(F.expr(OPTIONS).alias("document")))
 
 

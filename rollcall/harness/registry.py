@@ -37,12 +37,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Hand the rows of a single file to all cores before heavy work per row.
-
-    One file with one row group is one task, whatever follows it. Tables of many
-    files, as any large one is, are left as they are.
-    """
-    if len(df.inputFiles()) > 1:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt out by key to as many tasks as a shuffle has, before heavy work per row."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)

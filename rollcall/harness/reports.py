@@ -142,7 +142,7 @@ def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     )
     joined = (
-        spread(lines).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        spread(lines, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))

@@ -28,6 +28,7 @@ from rollcall.sinks.reports import (
 from rollcall.sinks.runs import FAILED, SUCCESS, UNCHANGED, last_run, record_run
 from rollcall.sources.catalogue import (
     answered_texts,
+    check_details,
     question_texts,
     read_choices,
     read_items,
@@ -35,7 +36,7 @@ from rollcall.sources.catalogue import (
     read_questions,
     wide_columns,
 )
-from rollcall.sources.pages import ORDER, check_complete, read_pages
+from rollcall.sources.pages import ITEM, ORDER, QUESTION, check_complete, read_pages
 from rollcall.sources.registrations import (
     FIXED_COLUMNS,
     ORDINAL,
@@ -74,15 +75,19 @@ def number_tickets(flat: DataFrame) -> DataFrame:
     Parsed once: range partitioning reads its input twice.
     """
     parsed = pin(flat, "flat")
-    check_complete(parsed.select("page_no", "next"))
+    begins = (F.coalesce("order_pos", F.lit(0)) == 0) & (F.coalesce("position_pos", F.lit(0)) == 0)
+    check_complete(parsed.select("page_no", "next", "order_pos", "position_pos"), begins)
     return number_rows(require_rows(tickets(parsed)), ORDINAL, into=NUMBER, start=0)
 
 
 def read_inputs(spark: SparkSession, family: Family, landing: Landing) -> Inputs:
     pages = read_pages(spark, landing.path("orders"), ORDER, landing.lines)
+    for collection, record in (("questions", QUESTION), ("items", ITEM)):
+        check_complete(read_pages(spark, landing.path(collection), record, landing.lines).select("page_no", "next"))
     questions = read_questions(spark, landing.path("questions"), landing.lines)
     items = read_items(spark, landing.path("items"), landing.lines)
     details = read_question_details(spark, landing.path("question_details"))
+    check_details(questions, details, family.place_question)
     return Inputs(
         raw=number_tickets(flat_positions(pages, items, questions)),
         questions=questions,

@@ -111,6 +111,14 @@ def choice_texts(documents: DataFrame) -> DataFrame:
     return labelled.where(F.col(LABEL).isNotNull()).distinct()
 
 
+def check_details(questions: DataFrame, details: DataFrame, text: str) -> None:
+    """Fail unless every question with a text has its document."""
+    missing = matching_text(questions, "text", text).select("id").join(details, "id", "left_anti")
+    found = missing.orderBy("id").first()
+    if found is not None:
+        raise ValueError(f"no details of question {found['id']}")
+
+
 def read_choices(questions: DataFrame, details: DataFrame, text: str) -> DataFrame:
     """Choices of all questions with a text, merged and sorted: ``label, position``.
 

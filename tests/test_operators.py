@@ -207,3 +207,13 @@ def test_width_profile(spark):
     assert rows(width_profile(one)) == [("c", 8)]
     assert rows(width_profile(one.limit(0))) == [("c", 3)]
     assert rows(escape_formulas(df).select("long").limit(1))[0][0] in ("'=1", "x" * 50)
+
+
+def test_fingerprint_sees_a_value_moved_between_null_answers(spark):
+    from rollcall.operators.changes import fingerprint
+
+    def of(sql):
+        return fingerprint(spark.sql(f"select {sql} as m")).first()["checksum"]
+
+    assert of("map('x', null, 'y', 'z')") != of("map('x', 'y', 'z', null)")
+    assert of("map('x', null, 'y', 'z')") == of("map('y', 'z', 'x', null)")

@@ -3,7 +3,7 @@ from dataclasses import replace
 
 from rollcall.operators.collapsing import latest_per_key
 from rollcall.plans import day_j
-from rollcall.plans.event import current_report
+from rollcall.plans.event import Landing, current_report, run_event
 from rollcall.plans.spec import EventConfig
 from rollcall.sinks.runs import runs
 from rollcall.streaming.polling import keep_history, latest_records, poll
@@ -38,6 +38,38 @@ def test_polling_runs_on_landed_snapshots(spark, folder):
     assert [(r["Ortschaft"], r["Gesamt"]) for r in counts][:3] == [("GESAMT", 5), ("Aalen", 0), ("Bonn", 5)]
 
 
+def test_late_page_of_an_old_snapshot_brings_nothing_back(spark, folder):
+    landing, out, checkpoint = f"{folder}/landing", f"{folder}/out", f"{folder}/checkpoint"
+
+    def run():
+        poll(spark, day_j.FAMILY, landing, out, checkpoint, ONCE).awaitTermination()
+
+    land(f"{landing}/s1", ["a", "b", "c"])
+    run()
+    land(f"{landing}/s2", ["a", "b", "c", "d", "e"])
+    run()
+    shutil.copy(f"{landing}/s1/orders/page-000001.json", f"{landing}/s1/orders/late-000001.json")
+    run()
+    log = runs(spark, out).orderBy("run_ts").collect()
+    assert [r["status"] for r in log] == ["success", "success", "unchanged"]
+    assert len({r["run_id"] for r in log}) == 3
+    counts = current_report(spark, out, "Anmeldezahlen").orderBy("Nr").first()
+    assert counts["Gesamt"] == 5
+
+
+def test_page_landed_twice_or_missing_fails(spark, folder):
+    whole = land(f"{folder}/whole", ["a", "b", "c"])
+    for name, change in (
+        ("twice", lambda s: shutil.copy(f"{s}/orders/page-000001.json", f"{s}/orders/again-000001.json")),
+        ("items", lambda s: shutil.rmtree(f"{s}/items")),
+        ("details", lambda s: shutil.rmtree(f"{s}/question_details")),
+    ):
+        shutil.copytree(whole, f"{folder}/{name}")
+        change(f"{folder}/{name}")
+        assert run_event(spark, day_j.FAMILY, Landing(f"{folder}/{name}"), f"{folder}/out-{name}") == "failed"
+    assert run_event(spark, day_j.FAMILY, Landing(whole), f"{folder}/out-whole") == "success"
+
+
 def test_half_landed_snapshot_is_taken_up_again(spark, folder):
     landing, out, checkpoint = f"{folder}/landing", f"{folder}/out", f"{folder}/checkpoint"
     whole = land(f"{folder}/whole", ["a", "b", "c"])

@@ -20,6 +20,11 @@ BLANK_RUN = r"(?U)[\s\x1c-\x1f]+"
 NAME_FROM, NAME_TO = '\n\r\t<>/\\|:"?*%', "   __+__"
 PATH_FROM, PATH_TO = '\n\r\t<>|:"?*%', "   ___"
 
+# What Spark escapes in the folder of a partition value, the percent sign
+# first, and how it calls the folder of a value that is empty.
+ESCAPED_IN_FOLDERS = "%\"#'*/:=?\\{[]^\x7f" + "".join(map(chr, range(1, 32)))
+NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 # First characters that make a spreadsheet read text as a formula.
 FORMULA_SIGNS = ("=", "+", "-", "@")
 
@@ -120,6 +125,14 @@ def file_name(c: Column | str) -> Column:
     return strip(F.translate(as_column(c), NAME_FROM, NAME_TO))
 
 
+def stored_value(c: Column | str) -> Column:
+    """A partition value as Spark writes it into the path of its folder."""
+    text = as_column(c)
+    for sign in ESCAPED_IN_FOLDERS:
+        text = F.replace(text, F.lit(sign), F.lit(f"%{ord(sign):02X}"))
+    return F.coalesce(F.nullif(text, F.lit("")), F.lit(NO_FOLDER))
+
+
 def folder_path(c: Column | str) -> Column:
     """A text as a folder path: no forbidden characters, no empty steps.
 

@@ -7,6 +7,6 @@ from types import ModuleType
 
 def load() -> ModuleType:
     """The registry, filled."""
-    from rollcall.harness import nested, registry, reports, tables, values  # noqa: F401
+    from rollcall.harness import nested, polling, registry, reports, tables, values  # noqa: F401
 
     return registry

@@ -14,7 +14,7 @@ from rollcall.operators.shaping import pivot_last, widen
 from rollcall.plans.event import number_tickets, raw_report
 from rollcall.session import scratch_path
 from rollcall.sources import registrations
-from rollcall.sources.catalogue import answered_texts, choice_texts, question_texts
+from rollcall.sources.catalogue import answered_texts, choice_texts, question_ids
 from rollcall.sources.pages import ORDER, check_complete, read_pages
 
 ORDER_FIELDS = ["page_no", "order_pos", "order_code", "status", "email", "total", "date",
@@ -52,28 +52,32 @@ from ({POSITIONS_SQL}) p
 """
 
 
-def _named(spark, sf, literal_limit):
-    rows = registrations.position_rows(registrations.order_rows(documents.pages(spark, sf)))
-    named = registrations.name_answers(
-        registrations.tickets(rows), documents.questions(spark, sf), literal_limit=literal_limit
-    )
-    answer = lambda t: F.try_element_at("answers", F.lit(t))
-    return named.select(
-        "position_id", answer("NATION_1").alias("q1"), answer("NATION_2").alias("q2"),
-        answer("question_77").alias("q77"),
-    )
+ASKED = {"NATION_1": "q1", "NATION_2": "q2", "question_77": "q77"}
+
+
+def _asked(rows, questions):
+    """Columns for the texts asked for: ids looked up, answers read inside the row."""
+    return widen(rows, "answers", ASKED, ASKED, ids=question_ids(questions, ASKED))
 
 
 @query(f"select position_id, q1, q2, q77 from ({NAMED_SQL})")
 def map_answers(spark, sf):
-    """Answers by question text, texts looked up inside the row."""
-    return _named(spark, sf, registrations.LITERAL_QUESTIONS)
+    """Answers by question text, read inside the row."""
+    rows = registrations.position_rows(registrations.order_rows(documents.pages(spark, sf)))
+    tickets = registrations.tickets(rows).select("position_id", "answers")
+    return _asked(tickets, documents.questions(spark, sf))
 
 
 @query(f"select position_id, q1, q2, q77 from ({NAMED_SQL})")
 def map_answers_joined(spark, sf):
-    """The same for a catalogue too large for the plan: exploded, joined, put back."""
-    return _named(spark, sf, 0)
+    """The same from the long form: exploded, joined with the catalogue, put back."""
+    rows = registrations.position_rows(registrations.order_rows(documents.pages(spark, sf)))
+    tickets = registrations.tickets(rows).select("position_id", "answers")
+    long = registrations.named_answers(tickets, documents.questions(spark, sf), ["position_id"])
+    wide = pivot_last(long, ["position_id"], "text", "answer", ["answer_pos"], list(ASKED))
+    return tickets.select("position_id").join(wide, "position_id", "left").select(
+        "position_id", *[F.col(t).alias(c) for t, c in ASKED.items()]
+    )
 
 
 FLAT_SQL = f"""
@@ -85,9 +89,7 @@ from ({NAMED_SQL}) p left join customer on c_custkey = item_id
 
 
 def flat(spark, sf):
-    return registrations.flat_positions(
-        documents.pages(spark, sf), documents.items(spark, sf), documents.questions(spark, sf)
-    )
+    return registrations.flat_positions(documents.pages(spark, sf), documents.items(spark, sf))
 
 
 @query(f"""
@@ -97,12 +99,10 @@ select page_no, position_pos, "Nr", order_code, status, email, total, date, invo
 def flat_positions(spark, sf):
     """The whole ingestion: unnest, look up, check pages, number from 0."""
     raw = number_tickets(flat(spark, sf))
-    answer = lambda t: F.try_element_at("answers", F.lit(t))
-    return raw.select(
+    return _asked(raw, documents.questions(spark, sf)).select(
         "page_no", "position_pos", "Nr", "order_code", "status", "email", "total", "date", "invoice_name",
         "invoice_city", "position_id", "item_id", "item_name", "price", "attendee_firstname",
-        "attendee_lastname", answer("NATION_1").alias("q1"), answer("NATION_2").alias("q2"),
-        answer("question_77").alias("q77"),
+        "attendee_lastname", "q1", "q2", "q77",
     )
 
 
@@ -125,7 +125,7 @@ from ({FLAT_SQL})
 def report_raw(spark, sf):
     """The raw report: one column per question, unanswered ones empty."""
     raw = number_tickets(flat(spark, sf))
-    return raw_report(raw, question_texts(documents.questions(spark, sf)))
+    return raw_report(raw, documents.questions(spark, sf))
 
 
 LATEST_SQL = """

@@ -133,7 +133,7 @@ def answered_by(family: str) -> dict[str, str]:
 
 
 def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
-    """Raw tickets: ordinal, fixed columns and the answers as a map."""
+    """Raw tickets: ordinal, fixed columns and the answers by question id."""
     lineitem, orders, customer, nation, part = (
         table(spark, sf, n) for n in ("lineitem", "orders", "customer", "nation", "part")
     )
@@ -150,9 +150,11 @@ def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
     derived = joined.select(
         *[F.expr(e).alias(c) for c, e in (PLACE | FIXED | ANSWERS).items()]
     )
-    questions = answered_by(family)
-    answers = F.map_from_arrays(
-        F.array(*[F.lit(t) for t in questions]), F.array(*[F.col(a) for a in questions.values()])
+    answers = F.array(
+        *[
+            F.struct(F.lit(i).cast("bigint").alias("id"), F.col(a).alias("answer"))
+            for i, a in enumerate(answered_by(family).values())
+        ]
     )
     return derived.select(
         *PLACE, F.lit(0).cast("bigint").alias(NUMBER), *FIXED_COLUMNS, answers.alias("answers")
@@ -164,7 +166,8 @@ def run(spark: SparkSession, sf: str, family: Family, name: str) -> DataFrame:
     raw = tickets(spark, sf, family.name)
     if name == "Alles":
         raw = number_rows(raw.drop(NUMBER), ORDINAL, into=NUMBER, start=0)
-    clean = family.clean(raw, MODULES[family.name].QUESTIONS, EventConfig())
+    known = {text: [i] for i, text in enumerate(answered_by(family.name))}
+    clean = family.clean(raw, known, EventConfig())
     first = needed_reports(family, name)[0]
     if isinstance(first, ReportSpec) and first.order and first.ties == ORDINAL:
         # Range partitioning reads its input twice, which is cheaper than to make it twice.

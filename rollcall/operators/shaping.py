@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from rollcall.functions.text import blank_to_null
 
 
+#: Helper column: answers by question id.
+BY_ID = "__by_id"
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name; question texts hold dots, colons and ticks."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -90,38 +94,70 @@ def pivot_last(
     )
 
 
+def _is_one(value: Column, named: Sequence[int], empty: bool) -> Column:
+    hit = F.coalesce(value.isin(list(named)), F.lit(False)) if named else F.lit(False)
+    return hit | value.isNull() if empty else hit
+
+
+def last_answers(
+    df: DataFrame, answers: str, ids: Mapping[str, Sequence[int | None]]
+) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """Per text the last answer to one of its ids, and whether there is one.
+
+    ``answers`` is an array of ``(id, answer)``. A text of one id is read from a map by
+    id, made once per row; a text that several questions share is searched in the array.
+    """
+    known = F.filter(quoted(answers), lambda a: a["id"].isNotNull())
+    keyed = df.withColumn(BY_ID, F.map_from_entries(known))
+    values, given = {}, {}
+    for text, of in ids.items():
+        if len(of) == 1 and of[0] is not None:
+            key = F.lit(of[0]).cast("bigint")
+            values[text], given[text] = F.try_element_at(BY_ID, key), F.map_contains_key(BY_ID, key)
+            continue
+        named, empty = [i for i in of if i is not None], None in of
+
+        found = F.filter(quoted(answers), lambda a: _is_one(a["id"], named, empty))
+        values[text], given[text] = F.try_element_at(found, F.lit(-1))["answer"], F.size(found) > 0
+    return keyed, values, given
+
+
 def widen(
     df: DataFrame,
     answers: str,
     columns: Mapping[str, str],
     answered: Iterable[str],
     collisions: str = "answer",
+    ids: Mapping[str, Sequence[int | None]] | None = None,
 ) -> DataFrame:
-    """Spread a map column into one column per question, without a shuffle.
+    """Spread the answers into one column per question, without a shuffle.
 
     ``columns`` maps each question text to its column name. A question outside
     ``answered`` was answered by nobody and becomes the empty text. Where a column
     name exists already, the answer replaces it in the rows that have one, or the
-    call fails with ``collisions="raise"``.
+    call fails with ``collisions="raise"``. Answers are a map by text, or with ``ids``,
+    the question ids of each text, an array of ``(id, answer)``.
     """
     known = set(answered)
     fixed = [c for c in df.columns if c != answers]
     shadowed = {columns[t]: t for t in columns if columns[t] in fixed and t in known}
     if shadowed and collisions == "raise":
         raise ValueError(f"question texts equal fixed columns: {sorted(shadowed)}")
-
-    def answer(text: str) -> Column:
+    if ids is None:
         # Unlike map[key], which Spark takes for free, this is not repeated per use.
-        return F.try_element_at(quoted(answers), F.lit(text))
+        values = {t: F.try_element_at(quoted(answers), F.lit(t)) for t in known}
+        given = {t: F.map_contains_key(quoted(answers), t) for t in shadowed.values()}
+    else:
+        df, values, given = last_answers(df, answers, {t: ids[t] for t in columns if t in known})
 
     def fixed_column(name: str) -> Column:
         if name not in shadowed:
             return quoted(name)
-        given = F.map_contains_key(quoted(answers), shadowed[name])
-        return F.when(given, answer(shadowed[name])).otherwise(quoted(name).cast("string")).alias(name)
+        text = shadowed[name]
+        return F.when(given[text], values[text]).otherwise(quoted(name).cast("string")).alias(name)
 
     spread = [
-        (answer(text) if text in known else F.lit("")).alias(name)
+        (values[text] if text in known else F.lit("")).alias(name)
         for text, name in columns.items()
         if name not in fixed
     ]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 
 from rollcall.functions.text import address
@@ -18,6 +16,7 @@ from rollcall.plans.common import (
     STATUS_WORDS,
     CountSpec,
     Family,
+    Known,
     clear_unless,
     order_step,
     question_texts_read,
@@ -127,7 +126,7 @@ QUESTIONS = question_texts_read(RENAMES, tuple(RENAMES.values()), ())
 CLEAN = (*RENAMES.values(), "Adresse")
 
 
-def clean(raw: DataFrame, known: Iterable[str], config: EventConfig) -> DataFrame:
+def clean(raw: DataFrame, known: Known, config: EventConfig) -> DataFrame:
     """The clean table all reports start from; cancelled tickets are still in it."""
     df = rename(with_answers(raw, QUESTIONS, known), RENAMES)
     require(df, [*YES_NO, "Ortsteil", PLACE, "Lebensmittelunverträglichkeiten", *CLEARED])
@@ -145,6 +144,7 @@ def clean(raw: DataFrame, known: Iterable[str], config: EventConfig) -> DataFram
 FAMILY = Family(
     name="camp_h",
     place_question="Zu-/Ausstieg",
+    questions=tuple(QUESTIONS),
     clean=clean,
     reports=(
         ReportSpec("Alles", "clean", CLEAN, folder="Unsortiert", numbers="keep"),

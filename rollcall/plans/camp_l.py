@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from rollcall.plans.common import (
     STATUS_WORDS,
     CountSpec,
     Family,
+    Known,
     clear_unless,
     order_step,
     question_texts_read,
@@ -151,7 +152,7 @@ def invoice_and_place(df: DataFrame, places: Sequence[str], config: EventConfig)
     )
 
 
-def clean(raw: DataFrame, known: Iterable[str], config: EventConfig) -> DataFrame:
+def clean(raw: DataFrame, known: Known, config: EventConfig) -> DataFrame:
     """The clean table all reports start from."""
     df = rename(with_answers(raw, QUESTIONS, known), RENAMES)
     df = invoice_and_place(df, PLACE_QUESTIONS, config)
@@ -202,6 +203,7 @@ def town_reports(
 FAMILY = Family(
     name="camp_l",
     place_question=PLACE_QUESTION,
+    questions=tuple(QUESTIONS),
     clean=clean,
     edit_choices=town_choices,
     reports=town_reports(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 
 from rollcall.functions.text import join_flags
@@ -16,7 +14,7 @@ from rollcall.plans.camp_l import (
     town_choices,
     town_reports,
 )
-from rollcall.plans.common import CARRIED, Family, question_texts_read, with_answers
+from rollcall.plans.common import CARRIED, Family, Known, question_texts_read, with_answers
 from rollcall.plans.spec import EventConfig
 
 # Column names and question texts, and what the reports call them.
@@ -84,7 +82,7 @@ QUESTIONS = question_texts_read(
 )
 
 
-def clean(raw: DataFrame, known: Iterable[str], config: EventConfig) -> DataFrame:
+def clean(raw: DataFrame, known: Known, config: EventConfig) -> DataFrame:
     """The clean table all reports start from, with the diet flags summed up in one text."""
     df = rename(with_answers(raw, QUESTIONS, known), RENAMES)
     df = require(df, [*DIET_FLAGS, *NOTES[::2]])
@@ -97,6 +95,7 @@ def clean(raw: DataFrame, known: Iterable[str], config: EventConfig) -> DataFram
 FAMILY = Family(
     name="camp_t",
     place_question=PLACE_QUESTION,
+    questions=tuple(QUESTIONS),
     clean=clean,
     edit_choices=town_choices,
     reports=town_reports(

@@ -30,6 +30,9 @@ STATUS_ORDER = ("unbezahlt", "bezahlt", "storniert")
 CANCELLED = "storniert"
 TOTAL = "GESAMT"
 
+#: Question ids per text; a text without ids is asked but answered by nobody.
+Known = Mapping[str, Sequence[int | None]]
+
 #: Columns every clean table carries in front, for order and numbers.
 CARRIED = (*ORDINAL, NUMBER)
 
@@ -85,8 +88,9 @@ class Family:
 
     name: str
     place_question: str
-    clean: Callable[[DataFrame, Iterable[str], EventConfig], DataFrame]
+    clean: Callable[[DataFrame, Known, EventConfig], DataFrame]
     reports: tuple[ReportSpec | CountSpec, ...]
+    questions: tuple[str, ...] = ()
     edit_choices: Callable[[DataFrame], DataFrame] = lambda choices: choices
 
 
@@ -99,12 +103,11 @@ def question_texts_read(
     return [t for t in dict.fromkeys(texts) if t not in FIXED_COLUMNS]
 
 
-def with_answers(raw: DataFrame, texts: Iterable[str], known: Iterable[str]) -> DataFrame:
+def with_answers(raw: DataFrame, texts: Iterable[str], known: Known) -> DataFrame:
     """Carried and fixed columns and one column per known question of ``texts``."""
-    offered = set(known)
-    columns = {t: t for t in texts if t in offered}
+    columns = {t: t for t in texts if t in known}
     base = raw.select(*CARRIED, *FIXED_COLUMNS, "answers")
-    return widen(base, "answers", columns, columns)
+    return widen(base, "answers", columns, [t for t in columns if known[t]], ids=known)
 
 
 def order_step(columns: Sequence[str], flag: str) -> Callable[[DataFrame], DataFrame]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +13,7 @@ from rollcall.plans.common import (
     CARRIED,
     CountSpec,
     Family,
+    Known,
     question_texts_read,
     with_answers,
 )
@@ -71,12 +70,12 @@ QUESTIONS = question_texts_read(
 )
 
 
-def clean(raw: DataFrame, known: Iterable[str], config: EventConfig) -> DataFrame:
+def clean(raw: DataFrame, known: Known, config: EventConfig) -> DataFrame:
     """Tickets that are not cancelled, offers of parents and staff in one column each.
 
     With ``blank_is_null`` a blank answer counts as none in what is coalesced, in the
     intolerances and, stripped, in the place. Without it blanks are values, as they
-    come in; ``with_blank_answers`` then adds them for questions nobody answered.
+    come in; ``answered`` then adds them for questions nobody answered.
     """
     df = raw.where(differs("status", CANCELLED_CODE))
     df = rename(with_answers(df, QUESTIONS, known), RENAMES)
@@ -95,14 +94,12 @@ def clean(raw: DataFrame, known: Iterable[str], config: EventConfig) -> DataFram
     return select_known(df, [*CARRIED, *SORTED])
 
 
-def with_blank_answers(raw: DataFrame, answered: Iterable[str]) -> DataFrame:
-    """Give every ticket an empty answer to each question that nobody answered."""
-    given = set(answered)
-    blank = [t for t in QUESTIONS if t not in given]
-    if not blank:
-        return raw
-    empty = F.create_map(*[F.lit(x) for t in blank for x in (t, "")])
-    return raw.withColumn("answers", F.map_concat(empty, F.col("answers")))
+def answered(raw: DataFrame, known: Known) -> Known:
+    """The ids that have an answer: a text without any then reads as empty, not as null."""
+    ids = [i for of in known.values() for i in of if i is not None]
+    used = raw.select(F.explode("answers.id").alias("id")).where(F.col("id").isin(ids)).distinct()
+    given = {r["id"] for r in used.collect()}
+    return {t: [i for i in of if i in given] for t, of in known.items()}
 
 
 def listed(df: DataFrame) -> DataFrame:
@@ -113,6 +110,7 @@ def listed(df: DataFrame) -> DataFrame:
 FAMILY = Family(
     name="day_j",
     place_question="Ich melde mich über folgende Ortschaft an",
+    questions=tuple(QUESTIONS),
     clean=clean,
     reports=(
         ReportSpec("Alle", "clean", SORTED, order=BY_PLACE, keep=ORDINAL),

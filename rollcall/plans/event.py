@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
@@ -9,26 +10,29 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall import __version__
 from rollcall.operators.changes import fingerprint
 from rollcall.operators.counting import LABEL, choices_and_observed
 from rollcall.operators.numbering import number_rows
 from rollcall.operators.shaping import quoted, widen
 from rollcall.plans import camp_h, camp_l, camp_t, day_j
-from rollcall.plans.common import CARRIED, CountSpec, Family
+from rollcall.plans.common import CARRIED, CountSpec, Family, Known
 from rollcall.plans.spec import NUMBER, EventConfig, ReportSpec, run_spec
-from rollcall.session import configure, pin
+from rollcall.session import configure, pin, scratch
 from rollcall.sinks.reports import (
     append_rows,
     check_manifest,
     manifest,
     width_profile,
+    with_stored,
     write_groups,
     write_report,
 )
 from rollcall.sinks.runs import FAILED, SUCCESS, UNCHANGED, last_run, record_run
 from rollcall.sources.catalogue import (
-    answered_texts,
+    answered_questions,
     check_details,
+    question_ids,
     question_texts,
     read_choices,
     read_items,
@@ -65,7 +69,7 @@ class Landing:
 class Inputs:
     raw: DataFrame
     questions: DataFrame
-    texts: list[str]
+    known: Known
     choices: DataFrame
 
 
@@ -89,24 +93,26 @@ def read_inputs(spark: SparkSession, family: Family, landing: Landing) -> Inputs
     details = read_question_details(spark, landing.path("question_details"))
     check_details(questions, details, family.place_question)
     return Inputs(
-        raw=number_tickets(flat_positions(pages, items, questions)),
+        raw=number_tickets(flat_positions(pages, items)),
         questions=questions,
-        texts=question_texts(questions),
+        known=question_ids(questions, family.questions),
         choices=family.edit_choices(read_choices(questions, details, family.place_question)),
     )
 
 
-def raw_report(raw: DataFrame, texts: list[str]) -> DataFrame:
+def raw_report(raw: DataFrame, questions: DataFrame) -> DataFrame:
     """The raw table with one column per question."""
-    answered = answered_texts(raw, ORDINAL)
-    columns = wide_columns(answered, texts, list(FIXED_COLUMNS))
-    return widen(raw.select(NUMBER, *FIXED_COLUMNS, "answers"), "answers", columns, answered)
+    answered = answered_questions(raw, questions, ORDINAL)
+    columns = wide_columns(list(answered), question_texts(questions), list(FIXED_COLUMNS))
+    return widen(
+        raw.select(NUMBER, *FIXED_COLUMNS, "answers"), "answers", columns, answered, ids=answered
+    )
 
 
-def clean_table(family: Family, raw: DataFrame, texts: list[str], config: EventConfig) -> DataFrame:
+def clean_table(family: Family, raw: DataFrame, known: Known, config: EventConfig) -> DataFrame:
     if family is day_j.FAMILY and not config.blank_is_null:
-        raw = day_j.with_blank_answers(raw, answered_texts(raw, ORDINAL))
-    return family.clean(raw, texts, config)
+        known = day_j.answered(raw, known)
+    return family.clean(raw, known, config)
 
 
 def needed_reports(family: Family, only: str | None) -> list[ReportSpec | CountSpec]:
@@ -146,9 +152,9 @@ def write_reports(
     """Write everything below ``root``, then list it in the manifest."""
     spark, fmt = inputs.raw.sparkSession, config.report_format
     raw_name = "Raw_Data" if family is day_j.FAMILY else "Unsortiert/Rohdaten"
-    raw = raw_report(inputs.raw, inputs.texts)
+    raw = raw_report(inputs.raw, inputs.questions)
     # As columns, so that a report that needs few of them reads no more.
-    clean = pin(clean_table(family, inputs.raw, inputs.texts, config), "clean")
+    clean = pin(clean_table(family, inputs.raw, inputs.known, config), "clean")
     reports = build_reports(family, clean, inputs.choices)
 
     written = [(raw_name, raw)]
@@ -165,12 +171,15 @@ def write_reports(
         sizes = shown.groupBy(quoted(group).alias(LABEL)).agg(F.count("*").alias("rows"))
         entries = check_manifest(manifest(spec.name, spec.path, labels, sizes))
         write_groups(shown, f"{root}/{spec.path}", group, NUMBER, fmt)
+        entries = with_stored(entries, run_id, grouped=True)
         groups = entries if groups is None else groups.unionByName(entries)
 
+    sizes = [spark.read.schema(df.schema).format(fmt).option("header", True).load(f"{root}/{n}").count() for n, df in written]
     singles = spark.createDataFrame(
-        [(name.split("/")[-1], None, name) for name, _ in written],
-        "report string, label string, path string",
-    ).withColumn("rows", F.lit(None).cast("bigint"))
+        [(name.split("/")[-1], None, name, size) for (name, _), size in zip(written, sizes)],
+        "report string, label string, path string, rows bigint",
+    )
+    singles = with_stored(singles, run_id, grouped=False)
     entries = singles if groups is None else singles.unionByName(groups)
     append_rows(entries.withColumn("run_id", F.lit(run_id)), f"{out}/_manifest")
     widths = None
@@ -180,6 +189,19 @@ def write_reports(
     append_rows(widths.withColumn("run_id", F.lit(run_id)), f"{out}/_widths")
 
 
+def state_of(inputs: Inputs, family: Family, config: EventConfig) -> tuple[int, str]:
+    """Rows of the input, and a checksum of all that the reports are made from.
+
+    Besides the tickets these are the catalogue, the choices, and what the family, the
+    configuration and this version make of them.
+    """
+    seen = fingerprint(inputs.raw, ignore=CARRIED).first()
+    others = [fingerprint(df).first()["checksum"] for df in (inputs.questions, inputs.choices)]
+    shown = (config.time_zone, config.width_cap, config.report_format, config.blank_is_null)
+    parts = [seen["checksum"], str(seen["rows"]), *others, family.name, *map(str, shown), __version__]
+    return seen["rows"], hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
 def run_event(
     spark: SparkSession,
     family: Family,
@@ -192,23 +214,24 @@ def run_event(
 
     Reports go to a folder of their own per run. They become current with the run
     record, so that a run that fails half way changes nothing for readers. Input
-    that equals the last one is skipped, unless the last run failed.
+    that equals the last one is skipped, unless the last run failed. Tables pinned on
+    the way are removed at the end.
     """
     configure(spark, case_sensitive=True)
     run_id = run_id or uuid.uuid4().hex
-    seen = None
+    rows = checksum = None
     try:
-        inputs = read_inputs(spark, family, landing)
-        seen = fingerprint(inputs.raw, ignore=CARRIED).first()
-        last = last_run(spark, out)
-        if last and last["status"] != FAILED and last["checksum"] == seen["checksum"]:
-            outcome, error = UNCHANGED, None
-        else:
-            write_reports(family, inputs, config, f"{out}/{run_id}", run_id, out)
-            outcome, error = SUCCESS, None
+        with scratch(spark):
+            inputs = read_inputs(spark, family, landing)
+            rows, checksum = state_of(inputs, family, config)
+            last = last_run(spark, out)
+            if last and last["status"] != FAILED and last["checksum"] == checksum:
+                outcome, error = UNCHANGED, None
+            else:
+                write_reports(family, inputs, config, f"{out}/{run_id}", run_id, out)
+                outcome, error = SUCCESS, None
     except Exception as e:  # the run log takes every failure, as the next run depends on it
         outcome, error = FAILED, f"{type(e).__name__}: {e}"
-    rows, checksum = (seen["rows"], seen["checksum"]) if seen else (None, None)
     record_run(spark, out, run_id, config.time_zone, outcome, error, rows, checksum)
     return outcome
 

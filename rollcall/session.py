@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +22,13 @@ SETTINGS = {
     # Generated methods beyond this size are never compiled by the JVM's JIT; wide
     # clean-up steps run twice as fast in several smaller ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # The folders of groups are labels: place 007 is not the number 7.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
+#: Paths made since ``scratch`` was entered; none where the caller keeps its tables.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def configure(spark: SparkSession, case_sensitive: bool = False) -> SparkSession:
     """Apply the settings above.
@@ -55,7 +63,11 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path of this application below the shared folder."""
     app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/rollcall/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/rollcall/{app}/{label}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
 
 
 def pin(df: DataFrame, label: str) -> DataFrame:
@@ -70,11 +82,27 @@ def pin(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, name: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is pinned inside, and only that, at the end, also after a failure.
+
+    All that is read from it must have been written by then.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            _remove(spark, path)
+
+
 def release(spark: SparkSession) -> bool:
     """Remove everything this application pinned; call it after the last write."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(
-        f"{scratch_root(spark)}/rollcall/{spark.sparkContext.applicationId}"
-    )
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    return path.getFileSystem(conf).delete(path, True)
+    return _remove(spark, f"{scratch_root(spark)}/rollcall/{spark.sparkContext.applicationId}")

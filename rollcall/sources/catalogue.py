@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from rollcall.functions.nested import option_items, option_label, pick_label, typed_fields
 from rollcall.functions.text import blank_to_null
 from rollcall.operators.counting import LABEL, POSITION
-from rollcall.operators.lookup import matching_text
+from rollcall.operators.lookup import lookup_name, matching_text
+from rollcall.operators.numbering import number_rows
 from rollcall.operators.shaping import unique_name
 from rollcall.sources.pages import ITEM, QUESTION, read_pages, records
-
-#: A table has one column per question, so the catalogue must fit a schema.
-MAX_QUESTIONS = 5000
+from rollcall.sources.registrations import UNNAMED
 
 
 def _named(pages: DataFrame, field: str) -> DataFrame:
@@ -42,37 +41,63 @@ def read_items(spark: SparkSession, path: str, lines: bool = False) -> DataFrame
 
 
 def question_texts(questions: DataFrame) -> list[str]:
-    """Distinct question texts in catalogue order, for use as column names."""
+    """Distinct question texts in catalogue order: the columns of a raw report."""
     ordered = (
         questions.groupBy("text")
         .agg(F.min(F.struct("page_no", "record_pos")).alias("place"))
         .orderBy("place")
     )
-    texts = [r["text"] for r in ordered.select("text").take(MAX_QUESTIONS + 1)]
-    if len(texts) > MAX_QUESTIONS:
-        raise ValueError(
-            f"more than {MAX_QUESTIONS} questions do not fit a wide table; use the long form"
-        )
-    return texts
+    return [r["text"] for r in ordered.select("text").collect()]
 
 
-def answered_texts(positions: DataFrame, order: Iterable[str]) -> list[str]:
-    """Texts that have an answer, by first appearance.
+def question_ids(questions: DataFrame, texts: Iterable[str]) -> dict[str, list[int | None]]:
+    """The ids of the questions with one of ``texts``; texts of no question are left out.
 
-    One row per text leaves the aggregate, so that this fits a schema as well.
+    Only entries of these texts leave the catalogue. ``question_<id>`` means the question
+    of that id, if the catalogue does not name it.
     """
+    wanted = list(dict.fromkeys(texts))
+    unnamed = {int(m[1]): m[0] for m in (re.fullmatch(rf"{UNNAMED}(0|[1-9]\d{{0,17}})", t) for t in wanted) if m}
+    if UNNAMED + "None" in wanted:
+        unnamed[None] = UNNAMED + "None"
+    known = F.col("text").isin(wanted) | F.col("id").isin([i for i in unnamed if i is not None])
+    named = {r["id"]: r["text"] for r in questions.where(known).select("id", "text").collect() if r["id"] is not None}
+    ids: dict[str, list[int | None]] = {}
+    for i, text in (unnamed | named).items():
+        ids.setdefault(text, []).append(i)
+    return {t: ids[t] for t in wanted if t in ids}
+
+
+def answered_questions(
+    positions: DataFrame, questions: DataFrame, order: Sequence[str]
+) -> dict[str, list[int | None]]:
+    """Texts that have an answer, by first appearance, with the ids of their questions.
+
+    One row per question leaves the aggregate: the columns of a raw report.
+    """
+    place = F.struct(*order, "__at")
+    used = (
+        positions.select(*order, F.posexplode("answers").alias("__at", "__a"))
+        .groupBy(F.col("__a.id").alias("question_id"))
+        .agg(F.min(place).alias("__place"))
+    )
+    named = lookup_name(used, "question_id", questions, UNNAMED, "label").orderBy("__place")
+    ids: dict[str, list[int | None]] = {}
+    for row in named.select("label", "question_id").collect():
+        ids.setdefault(row["label"], []).append(row["question_id"])
+    return ids
+
+
+def answered_texts(positions: DataFrame, order: Iterable[str]) -> list[str]:
+    """Keys of a map of answers that occur, by first appearance."""
     place = F.struct(*order, "__at")
     texts = (
         positions.select(*order, F.posexplode(F.map_keys("answers")).alias("__at", "__text"))
         .groupBy("__text")
         .agg(F.min(place).alias("__place"))
         .orderBy("__place")
-        .select("__text")
-        .take(MAX_QUESTIONS + 1)
     )
-    if len(texts) > MAX_QUESTIONS:
-        raise ValueError("too many answered texts for a wide table; use the long form")
-    return [r["__text"] for r in texts]
+    return [r["__text"] for r in texts.select("__text").collect()]
 
 
 def wide_columns(answered: list[str], catalogue: list[str], fixed: list[str]) -> dict[str, str]:
@@ -120,10 +145,7 @@ def check_details(questions: DataFrame, details: DataFrame, text: str) -> None:
 
 
 def read_choices(questions: DataFrame, details: DataFrame, text: str) -> DataFrame:
-    """Choices of all questions with a text, merged and sorted: ``label, position``.
-
-    The list of one question is short, so that it may be numbered in one task.
-    """
+    """Choices of all questions with a text, merged and sorted: ``label, position``."""
     ids = matching_text(questions, "text", text).select("id")
     labels = choice_texts(details.join(ids, "id", "left_semi"))
-    return labels.withColumn(POSITION, F.row_number().over(W.orderBy(LABEL)).cast("bigint"))
+    return number_rows(labels, [LABEL], into=POSITION)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from itertools import chain
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.nested import embedded, pick_label, union_id
-from rollcall.functions.text import label_or_default
 from rollcall.operators.lookup import lookup_name
 from rollcall.sources.pages import ADDRESS
 
@@ -26,8 +25,8 @@ POSITION_COLUMNS = (
 )
 FIXED_COLUMNS = ORDER_COLUMNS + POSITION_COLUMNS
 
-#: Up to this many questions are looked up in a literal inside the row.
-LITERAL_QUESTIONS = 200
+#: Label of a question that the catalogue does not name, before its id.
+UNNAMED = "question_"
 
 
 def _parts(struct: str, fields: list[str], prefix: str) -> list[Column]:
@@ -54,7 +53,7 @@ def order_rows(pages: DataFrame) -> DataFrame:
 
 
 def position_rows(orders: DataFrame) -> DataFrame:
-    """One row per position, order columns repeated; the answers stay nested.
+    """One row per position, order columns repeated; the answers stay nested, by question id.
 
     Orders without positions keep one row without ``position_pos``, which carries
     their page until the pages have been checked.
@@ -77,66 +76,31 @@ def position_rows(orders: DataFrame) -> DataFrame:
         ],
         F.col("p.attendee_email").alias("attendee_email"),
         *[F.col(f"p.{c}").alias(f"attendee_{c}") for c in ("street", "zipcode", "city", "country")],
-        F.coalesce("p.answers", F.array().cast("array<struct<question:string,answer:string>>")).alias(
-            "answers"
-        ),
+        F.transform(
+            F.coalesce("p.answers", F.array().cast("array<struct<question:string,answer:string>>")),
+            lambda a: F.struct(union_id(a["question"]).alias("id"), a["answer"].alias("answer")),
+        ).alias("answers"),
     )
 
 
-def answer_rows(positions: DataFrame, order: tuple[str, ...] = ORDINAL) -> DataFrame:
+def answer_rows(positions: DataFrame, order: Sequence[str] = ORDINAL) -> DataFrame:
     """Long form: one row per answer with its place, question id and text."""
     return positions.select(*order, F.posexplode("answers").alias("answer_pos", "a")).select(
-        *order, "answer_pos", union_id("a.question").alias("question_id"), "a.answer"
+        *order, "answer_pos", F.col("a.id").alias("question_id"), "a.answer"
     )
 
 
-def name_answers(
-    positions: DataFrame,
-    questions: DataFrame,
-    order: tuple[str, ...] = ORDINAL,
-    literal_limit: int = LITERAL_QUESTIONS,
+def named_answers(
+    positions: DataFrame, questions: DataFrame, order: Sequence[str] = ORDINAL
 ) -> DataFrame:
-    """Turn the nested answers into a map from question text to answer, last one winning.
+    """The long form with the text of each question, for a catalogue of any size."""
+    return lookup_name(answer_rows(positions, order), "question_id", questions, UNNAMED, "text")
 
-    With a catalogue of usual size the texts are part of the plan and nothing is
-    shuffled. A larger one is joined to the exploded answers, which then return to
-    their position; a position only has as many answers as were typed in for it.
-    """
-    known = questions.select("id", "text").take(literal_limit + 1)
-    if len(known) <= literal_limit:
-        pairs = chain.from_iterable((F.lit(r["id"]), F.lit(r["text"])) for r in known)
-        texts = F.create_map(*pairs).cast("map<bigint,string>")
-
-        def entry(a: Column) -> Column:
-            qid = union_id(a["question"])
-            text = label_or_default(F.try_element_at(texts, qid), "question_", qid)
-            return F.struct(text.alias("key"), a["answer"].alias("value"))
-
-        named = F.map_from_entries(F.transform("answers", entry))
-        return positions.withColumn("answers", named)
-
-    long = lookup_name(
-        answer_rows(positions, order), "question_id", questions, "question_", "text"
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("answer_pos", "text", "answer")))
-    entries = F.transform(ordered, lambda e: F.struct(e["text"], e["answer"]))
-    maps = long.groupBy(*order).agg(F.map_from_entries(entries).alias("__named"))
-    empty = F.create_map().cast("map<string,string>")
-    return (
-        positions.join(maps, list(order), "left")
-        .withColumn("answers", F.coalesce("__named", empty))
-        .drop("__named")
-        .select(*positions.columns)
-    )
 
-
-def flat_positions(
-    pages: DataFrame, items: DataFrame, questions: DataFrame, literal_limit: int = LITERAL_QUESTIONS
-) -> DataFrame:
-    """Raw table with ``answers`` as a map, ordinal and ``next``; see ``tickets``."""
+def flat_positions(pages: DataFrame, items: DataFrame) -> DataFrame:
+    """Raw table with ``answers`` by question id, ordinal and ``next``; see ``tickets``."""
     positions = position_rows(order_rows(pages))
     named = lookup_name(positions, "item_id", items, "Item ", "item_name", embedded="__item_name")
-    named = name_answers(named, questions, literal_limit=literal_limit)
     return named.select(*ORDINAL, "next", *FIXED_COLUMNS, "answers")
 
 

@@ -9,7 +9,7 @@ import pytest
 from rollcall.plans import camp_h, camp_l, camp_t, day_j
 from rollcall.plans.event import Landing, build_reports, clean_table, current_report, read_inputs, run_event
 from rollcall.plans.spec import EventConfig, ReportSpec, lint
-from rollcall.session import configure
+from rollcall.session import configure, scratch_root
 from rollcall.sinks.runs import runs
 from tests.landing import DEFAULT_CHOICES, event_of, order, write_json
 
@@ -19,7 +19,7 @@ CONFIG = EventConfig()
 def reports(spark, module, root, config=CONFIG):
     configure(spark, case_sensitive=True)
     inputs = read_inputs(spark, module.FAMILY, Landing(root))
-    clean = clean_table(module.FAMILY, inputs.raw, inputs.texts, config)
+    clean = clean_table(module.FAMILY, inputs.raw, inputs.known, config)
     built = build_reports(module.FAMILY, clean, inputs.choices)
     return {"clean": clean} | {name: df for name, (_, df) in built.items()}
 
@@ -233,8 +233,14 @@ def test_runs(spark, camp_h_event, folder):
     out, landing = f"{folder}/out", Landing(camp_h_event)
     outcomes = []
 
+    def pinned():
+        app = f"{scratch_root(spark)}/rollcall/{spark.sparkContext.applicationId}"
+        return sorted(os.listdir(app)) if os.path.isdir(app) else []
+
     def run(config=CONFIG):
+        before = pinned()
         outcomes.append(run_event(spark, camp_h.FAMILY, landing, out, config))
+        assert pinned() == before
         return outcomes[-1]
 
     assert run() == "success"
@@ -251,6 +257,7 @@ def test_runs(spark, camp_h_event, folder):
     assert names.count() == 5 and "page_no" not in names.columns
     lists = current_report(spark, out, "Nach_Orten")
     assert {r["folder"] for r in lists.select("folder").distinct().collect()} == {"Süd", "Nord", "West"}
+    assert {r["folder"] == r["Zu-/Ausstieg"] for r in lists.collect()} == {True}
     manifest = spark.read.parquet(f"{out}/_manifest").where("label is not null")
     assert {(r["label"], r["path"], r["rows"]) for r in manifest.collect()} == {
         ("Süd", "Nach_Orten/Süd", 3), ("Nord", "Nach_Orten/Nord", 1), ("West", "Nach_Orten/West", 1),
@@ -270,6 +277,41 @@ def test_runs(spark, camp_h_event, folder):
     assert spark.read.parquet(f"{out}/_run_errors").count() == 1
 
 
+def test_manifest_says_where_rows_lie(spark, folder):
+    e = event_of(camp_h, ["007", "a=b", "Leer"])
+    places = ["007", "a=b", ":?*", "007"]
+    orders = [order(f"B{i}", [e.ticket(i, "v", "n", {"Zu-/Ausstieg": p})]) for i, p in enumerate(places)]
+    out = f"{folder}/out"
+    assert run_event(spark, camp_h.FAMILY, Landing(e.land(f"{folder}/in", orders)), out) == "success"
+    manifest = spark.read.parquet(f"{out}/_manifest").collect()
+    lists = {r["label"]: r for r in manifest if r["label"] is not None}
+    assert {label: r["rows"] for label, r in lists.items()} == {"007": 2, "a=b": 1, ":?*": 1, "Leer": 0}
+    assert {label for label, r in lists.items() if r["stored"] is None} == {"Leer"}
+    assert {r["report"]: r["rows"] for r in manifest if r["label"] is None}["Teilnehmerdaten"] == 4
+    for r in manifest:
+        assert r["stored"] is None or os.path.isdir(f"{out}/{r['stored']}"), r
+    shown = current_report(spark, out, "Nach_Orten")
+    assert {r["Zu-/Ausstieg"] for r in shown.collect()} == {"007", "a=b", ":?*"}
+    assert {r["folder"] for r in shown.where("folder like '0%'").collect()} == {"007"}
+
+
+def test_change_of_catalogue_or_configuration_is_a_change(spark, camp_h_event, folder):
+    out, landing = f"{folder}/out", Landing(camp_h_event)
+
+    def run(config=CONFIG):
+        return run_event(spark, camp_h.FAMILY, landing, out, config)
+
+    assert [run(), run()] == ["success", "unchanged"]
+    page = f"{camp_h_event}/questions/page-000001.json"
+    document = json.load(open(page, encoding="utf-8"))
+    document["results"].append({"id": 999, "question": {"de": "Neu?"}})
+    write_json(page, document)
+    assert run() == "success"
+    assert "Neu?" in current_report(spark, out, "Unsortiert/Rohdaten").columns
+    assert run(replace(CONFIG, report_format="csv")) == "success"
+    assert run(replace(CONFIG, report_format="csv", interval_minutes=1)) == "unchanged"
+
+
 def test_csv_reports(spark, camp_h_event, folder):
     out = f"{folder}/out"
     config = replace(CONFIG, report_format="csv")

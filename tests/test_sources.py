@@ -44,22 +44,19 @@ def landing(folder):
     return folder
 
 
-def flat(spark, landing, **options):
+def flat(spark, landing):
     return registrations.flat_positions(
         pages.read_pages(spark, f"{landing}/orders", pages.ORDER),
         catalogue.read_items(spark, f"{landing}/items"),
-        catalogue.read_questions(spark, f"{landing}/questions"),
-        **options,
     )
 
 
-@pytest.mark.parametrize("literal_limit", [200, 0])
-def test_raw_table(spark, landing, literal_limit):
+def test_raw_table(spark, landing):
     configure(spark, case_sensitive=True)
-    raw = number_tickets(flat(spark, landing, literal_limit=literal_limit))
-    texts = catalogue.question_texts(catalogue.read_questions(spark, f"{landing}/questions"))
-    assert texts == ["Ort?", "", "F", "Doppelt", "Niemand", "email"]
-    wide = raw_report(raw, texts)
+    raw = number_tickets(flat(spark, landing))
+    questions = catalogue.read_questions(spark, f"{landing}/questions")
+    assert catalogue.question_texts(questions) == ["Ort?", "", "F", "Doppelt", "Niemand", "email"]
+    wide = raw_report(raw, questions)
     assert wide.columns[1:24] == list(registrations.FIXED_COLUMNS)
     assert wide.columns[24:] == ["Ort?", "Doppelt", "question_77", "", "F", "Niemand", "email (#2)"]
     got = {r["position_id"]: r for r in wide.collect()}
@@ -75,6 +72,26 @@ def test_raw_table(spark, landing, literal_limit):
     assert got[12]["status"] is None and got[12]["email"] == "C@example.org"
 
 
+def test_questions_of_equal_text_and_any_number(spark):
+    """The last answer wins whichever question of the text it belongs to; no catalogue is too large."""
+    questions = spark.range(6000).select(
+        F.col("id"), F.when(F.col("id").isin(7, 5999), "Ort").otherwise(F.concat(F.lit("q"), "id")).alias("text"),
+        F.lit(1).alias("page_no"), F.col("id").alias("record_pos"),
+    )
+    rows = [(1, [(7, "a"), (5999, "b"), (8, "x")]), (2, [(5999, "b"), (7, "a")]), (3, [(None, "n"), (6001, "u")]), (4, [])]
+    df = spark.createDataFrame(rows, "i int, answers array<struct<id:bigint,answer:string>>")
+    texts = ["Ort", "q8", "question_6001", "question_None", "question_8", "absent"]
+    ids = catalogue.question_ids(questions, texts)
+    assert ids == {"Ort": [7, 5999], "q8": [8], "question_6001": [6001], "question_None": [None]}
+    wide = widen(df, "answers", {t: t for t in ids}, ids, ids=ids)
+    assert [tuple(r) for r in wide.orderBy("i").collect()] == [
+        (1, "b", "x", None, None), (2, "a", None, None, None), (3, None, None, "u", "n"), (4, None, None, None, None),
+    ]
+    assert len(catalogue.question_texts(questions)) == 5999
+    used = catalogue.answered_questions(df, questions, ["i"])
+    assert used == {"Ort": [7, 5999], "q8": [8], "question_None": [None], "question_6001": [6001]}
+
+
 def test_answers_long_form(spark, landing):
     pages_read = pages.read_pages(spark, f"{landing}/orders", pages.ORDER)
     long = registrations.answer_rows(registrations.position_rows(registrations.order_rows(pages_read)))
@@ -119,7 +136,6 @@ def test_no_tickets(spark, landing):
     empty = registrations.flat_positions(
         pages.read_pages(spark, f"{landing}/none/orders", pages.ORDER),
         catalogue.read_items(spark, f"{landing}/items"),
-        catalogue.read_questions(spark, f"{landing}/questions"),
     )
     with pytest.raises(ValueError, match="no registrations"):
         number_tickets(empty)

@@ -81,6 +81,16 @@ def test_half_landed_snapshot_is_taken_up_again(spark, folder):
     assert [r["status"] for r in runs(spark, out).orderBy("run_ts").collect()] == ["failed", "success"]
 
 
+def test_catalogue_that_lands_late_is_a_reason_to_run(spark, folder):
+    landing, out, checkpoint = f"{folder}/landing", f"{folder}/out", f"{folder}/checkpoint"
+    whole = land(f"{folder}/whole", ["a", "b", "c"])
+    shutil.copytree(whole, f"{landing}/s1", ignore=shutil.ignore_patterns("items"))
+    poll(spark, day_j.FAMILY, landing, out, checkpoint, ONCE).awaitTermination()
+    shutil.copytree(f"{whole}/items", f"{landing}/s1/items")
+    poll(spark, day_j.FAMILY, landing, out, checkpoint, ONCE).awaitTermination()
+    assert [r["status"] for r in runs(spark, out).orderBy("run_ts").collect()] == ["failed", "success"]
+
+
 def test_history_takes_each_file_once(spark, folder):
     landing, table, checkpoint = f"{folder}/in", f"{folder}/history", f"{folder}/checkpoint"
 

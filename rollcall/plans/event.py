@@ -174,11 +174,14 @@ def write_reports(
         entries = with_stored(entries, run_id, grouped=True)
         groups = entries if groups is None else groups.unionByName(entries)
 
-    sizes = [spark.read.schema(df.schema).format(fmt).option("header", True).load(f"{root}/{n}").count() for n, df in written]
-    singles = spark.createDataFrame(
-        [(name.split("/")[-1], None, name, size) for (name, _), size in zip(written, sizes)],
-        "report string, label string, path string, rows bigint",
-    )
+    singles = None
+    for name, df in written:
+        stored = spark.read.schema(df.schema).format(fmt).option("header", True).load(f"{root}/{name}")
+        line = stored.agg(F.count("*").alias("rows")).select(
+            F.lit(name.split("/")[-1]).alias("report"), F.lit(None).cast("string").alias("label"),
+            F.lit(name).alias("path"), "rows",
+        )
+        singles = line if singles is None else singles.unionByName(line)
     singles = with_stored(singles, run_id, grouped=False)
     entries = singles if groups is None else singles.unionByName(groups)
     append_rows(entries.withColumn("run_id", F.lit(run_id)), f"{out}/_manifest")
@@ -196,7 +199,7 @@ def state_of(inputs: Inputs, family: Family, config: EventConfig) -> tuple[int,
     configuration and this version make of them.
     """
     seen = fingerprint(inputs.raw, ignore=CARRIED).first()
-    others = [fingerprint(df).first()["checksum"] for df in (inputs.questions, inputs.choices)]
+    others = [r["checksum"] for r in fingerprint(inputs.questions).unionAll(fingerprint(inputs.choices)).collect()]
     shown = (config.time_zone, config.width_cap, config.report_format, config.blank_is_null)
     parts = [seen["checksum"], str(seen["rows"]), *others, family.name, *map(str, shown), __version__]
     return seen["rows"], hashlib.sha256("\n".join(parts).encode()).hexdigest()

@@ -176,7 +176,7 @@ def write_reports(
 
     singles = None
     for name, df in written:
-        stored = spark.read.schema(df.schema).format(fmt).option("header", True).load(f"{root}/{name}")
+        stored = spark.read.schema(df.schema).format(fmt).options(header=True, multiLine=True).load(f"{root}/{name}")
         line = stored.agg(F.count("*").alias("rows")).select(
             F.lit(name.split("/")[-1]).alias("report"), F.lit(None).cast("string").alias("label"),
             F.lit(name).alias("path"), "rows",

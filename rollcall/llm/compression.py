@@ -4,23 +4,31 @@ How far zstandard shrinks a text says whether it repeats itself (far) or is no l
 at all (hardly). Both limits depend on the length, since a short text has little to
 repeat and pays for the frame. Whole documents and fixed chunks are measured, so that a
 long clean text cannot hide a repetitive half, nor the other way round.
+
+The limits come from the corpus: quartiles of the ratio among distinct texts of like length
+that pass the base rule, widened by a multiple of the distance between them. Lengths that
+too few texts have are judged by wide fixed bands.
 """
 
 from __future__ import annotations
 
+import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rollcall.llm.words import (
     Words, buffers, covered, lines_of, repeats_in_groups, rolling, small, span_hashes, sums, windows, words_of,
 )
 
-#: From so many bytes on, the least and the largest share that compression may leave.
+#: From so many bytes on, the least and the largest share that compression may leave, where
+#: the corpus has too few texts to tell.
 BANDS = (
     (0, 0.0, 99.0),
     (256, 0.30, 0.95),
@@ -39,8 +47,21 @@ class Rules:
     """Parameters of the operator."""
 
     bands: Sequence[tuple[int, float, float]] = BANDS
+    #: Bands of chunks, where they are others than those of whole texts.
+    chunk_bands: Sequence[tuple[int, float, float]] | None = None
     #: Bytes of a chunk; the rest of a text, when shorter, is judged by the band of its length.
     chunk: int = 2048
+    #: Length classes for each doubling of the length; shorter texts are not judged by ratio.
+    classes: int = 4
+    shortest: int = 256
+    #: Limits lie so many quartile distances below the lower and above the upper quartile of
+    #: a class, or ``margin`` if that is more.
+    below: float = 1.5
+    above: float = 2.0
+    margin: float = 0.02
+    #: Distinct texts a class needs, with up to ``near`` neighbours on either side.
+    least: int = 100
+    near: int = 2
     #: Share of a text's bytes that may lie in chunks outside their band.
     bad_share: float = 0.3
     level: int = 3
@@ -66,9 +87,11 @@ def quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     empty text. ``reason`` is null for kept documents, else the first of ``base``,
     ``repetitive``, ``incompressible``, ``repetitive chunks``, ``incompressible chunks``.
 
-    Rows are judged where they are read; nothing is shuffled. Memory is that of one
+    Texts are read twice, for the bands and for the verdicts, and judged where they are
+    read; only a hash and a ratio of each text and chunk are shuffled. Memory is that of one
     piece of 4 MB of texts, or of one longer text.
     """
+    rules = fitted(docs, rules)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=rules.level, write_content_size=False).compress
@@ -110,6 +133,7 @@ def _base(column: pa.Array, rules: Rules) -> dict[str, np.ndarray]:
 
 def good_rows(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns; nothing is joined."""
+    rules = fitted(docs, rules)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compress = zstandard.ZstdCompressor(level=rules.level, write_content_size=False).compress
@@ -119,13 +143,80 @@ def good_rows(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return docs.mapInArrow(sift, docs.schema)
 
 
+def _failed(base: dict[str, np.ndarray], rules: Rules) -> np.ndarray:
+    return (base["n_words"] < rules.min_words) | (100 * base["n_repeat_words"] > rules.repeat_percent * base["n_words"])
+
+
+def class_of(size: int, classes: int) -> int:
+    return int(np.floor(classes * np.log2(size)))
+
+
+def _measured(docs: DataFrame, rules: Rules) -> DataFrame:
+    """``(whole, class, ratio, n)``: distinct texts and chunks past the base rule, ratios in thousandths."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=rules.level, write_content_size=False).compress
+        for batch in small(batches):
+            column = batch.column("text")
+            data, offsets = buffers(column)
+            good = np.flatnonzero(~_failed(_base(column, rules), rules))
+            starts, ends, whole = [], [], []
+            for a, b in zip(offsets[:-1][good].tolist(), offsets[1:][good].tolist()):
+                cuts = [(c, min(c + rules.chunk, b)) for c in range(a, b, rules.chunk)] if b - a > rules.chunk else []
+                pieces = [(x, y, i == 0) for i, (x, y) in enumerate([(a, b), *cuts]) if y - x >= rules.shortest]
+                starts += [x for x, _, _ in pieces]
+                ends += [y for _, y, _ in pieces]
+                whole += [w for _, _, w in pieces]
+            view = memoryview(np.ascontiguousarray(data))
+            ratios = [round(1000 * len(compress(view[a:b])) / (b - a)) for a, b in zip(starts, ends)]
+            kinds = [class_of(b - a, rules.classes) for a, b in zip(starts, ends)]
+            hashes = [int.from_bytes(hashlib.blake2b(view[a:b], digest_size=8).digest(), "little", signed=True) for a, b in zip(starts, ends)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hashes, pa.int64()), pa.array(whole, pa.bool_()), pa.array(kinds, pa.int32()), pa.array(ratios, pa.int32())],
+                names=["hash", "whole", "class", "ratio"],
+            )
+
+    found = docs.select("text").mapInArrow(measure, "hash bigint, whole boolean, class int, ratio int").distinct()
+    return found.groupBy("whole", "class", "ratio").agg(F.count("*").alias("n"))
+
+
+def fences(counts: dict[int, dict[int, int]], rules: Rules) -> tuple[tuple[int, float, float], ...]:
+    """Bands for the classes, from the number of texts by class and ratio in thousandths."""
+    out = {start: (low, high) for start, low, high in rules.bands}
+    for kind in sorted(counts):
+        near: dict[int, int] = {}
+        for width in range(rules.near + 1):
+            near = {}
+            for k in range(kind - width, kind + width + 1):
+                for ratio, n in counts.get(k, {}).items():
+                    near[ratio] = near.get(ratio, 0) + n
+            if sum(near.values()) >= rules.least:
+                break
+        start = int(np.ceil(2 ** (kind / rules.classes)))
+        after = int(np.ceil(2 ** ((kind + 1) / rules.classes)))
+        out.setdefault(after, limits(after, rules.bands))
+        if sum(near.values()) < rules.least:
+            out.setdefault(start, limits(start, rules.bands))
+            continue
+        ratios = np.array(sorted(near))
+        share = np.cumsum([near[r] for r in ratios]) / sum(near.values())
+        first, third = (ratios[np.searchsorted(share, q)] / 1000 for q in (0.25, 0.75))
+        out[start] = tuple(float(q + way * max(reach * (third - first), rules.margin)) for q, way, reach in ((first, -1, rules.below), (third, 1, rules.above)))
+    return tuple((start, *out[start]) for start in sorted(out))
+
+
+def fitted(docs: DataFrame, rules: Rules) -> Rules:
+    """The rules with bands of the corpus; at most a row for each length class and thousandth comes to the driver."""
+    counts: dict[bool, dict[int, dict[int, int]]] = {True: {}, False: {}}
+    for r in _measured(docs, rules).collect():
+        counts[r.whole].setdefault(r["class"], {})[r.ratio] = r.n
+    return replace(rules, bands=fences(counts[True], rules), chunk_bands=fences(counts[False], rules))
+
+
 def limits(size: int, bands: Sequence[tuple[int, float, float]]) -> tuple[float, float]:
     """Least and largest ratio for a text of so many bytes."""
-    low, high = 0.0, float("inf")
-    for start, least, most in bands:
-        if size >= start:
-            low, high = least, most
-    return low, high
+    at = bisect_right(bands, size, key=lambda band: band[0])
+    return bands[at - 1][1:] if at else (0.0, float("inf"))
 
 
 def _verdict(text: memoryview, rules: Rules, compress) -> tuple[float | None, float, str | None]:
@@ -138,8 +229,9 @@ def _verdict(text: memoryview, rules: Rules, compress) -> tuple[float | None, fl
     low_bytes = high_bytes = 0
     for at in range(0, size, rules.chunk):
         piece = text[at : at + rules.chunk]
-        least, most = limits(len(piece), rules.bands)
-        left = ratio if len(piece) == size else len(compress(piece)) / len(piece)
+        alone = len(piece) == size
+        least, most = (low, high) if alone else limits(len(piece), rules.chunk_bands or rules.bands)
+        left = ratio if alone else len(compress(piece)) / len(piece)
         low_bytes += len(piece) * (left < least)
         high_bytes += len(piece) * (left > most)
     share = (low_bytes + high_bytes) / size
@@ -156,7 +248,7 @@ def _verdict(text: memoryview, rules: Rules, compress) -> tuple[float | None, fl
 def _judge(batch: pa.RecordBatch, rules: Rules, compress) -> pa.RecordBatch:
     column = batch.column("text")
     base = _base(column, rules)
-    failed = (base["n_words"] < rules.min_words) | (100 * base["n_repeat_words"] > rules.repeat_percent * base["n_words"])
+    failed = _failed(base, rules)
     data, offsets = buffers(column)
     view = memoryview(np.ascontiguousarray(data))
     found = [_verdict(view[a:b], rules, compress) for a, b in zip(offsets[:-1], offsets[1:])]

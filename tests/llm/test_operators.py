@@ -85,6 +85,30 @@ def test_bands(spark):
     assert got[2].ratio == pytest.approx(left)
 
 
+def test_bands_of_the_corpus(spark):
+    """Random words, hex and a line said over and over pass the base rule and not the bands."""
+    sf, rnd = "/root/testdata/sf0.01", random.Random(8)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    prose = [t for i, t in rows_of(docs) if labels.get(i) == 1 and 120 <= len(words(t)) <= 600]
+    word = lambda signs: "".join(rnd.choice(signs) for _ in range(rnd.randint(2, 10)))
+    junk = [" ".join(word(signs) for _ in range(400)) for signs in ("abcdefghijklmnopqrstuvwxyz", "0123456789abcdef") for _ in range(15)]
+    for text in prose[:30]:
+        line = "\n" + " ".join(rnd.choices(words(text), k=12))
+        junk.append(text + line * round(len(words(text)) * 2 / 3 / 12))
+    planted = spark.createDataFrame([(100_000 + i, t) for i, t in enumerate(junk)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in compression.quality(docs.unionByName(planted)).collect()}
+    found = [got[100_000 + i] for i in range(len(junk))]
+    assert all(r.reason == "incompressible" for r in found[:30])
+    passed = [r for r in found[30:] if not r.base_failed]
+    assert len(passed) >= 25 and all(r.reason in ("repetitive", "repetitive chunks") for r in passed)
+    judged = [(labels[i], r.kept) for i, r in got.items() if i in labels and not r.base_failed]
+    assert sum(k for q, k in judged if q) >= 0.97 * sum(q for q, _ in judged)
+    assert sum(not k for q, k in judged if not q) >= 0.6 * sum(not q for q, _ in judged)
+    kept = {r.doc_id for r in compression.good_rows(docs.unionByName(planted)).collect()}
+    assert kept == {i for i, r in got.items() if r.kept}
+
+
 def brute_repeats(rows, length):
     """Rows without an id come last and, like rows of one id, are not earlier for one another."""
     order = lambda i: float("inf") if i is None else i

@@ -2,7 +2,9 @@
 
 A vocabulary of byte pairs spells ordinary words and names with few tokens. A random
 string of the same length needs many, so few characters per token give it away. Digests
-and identifiers also look odd to a vocabulary; they are known forms and left out.
+and identifiers also look odd to a vocabulary; they are known forms and left out. What
+makes an identifier is that its runs of letters are words: in lower case, each on its own,
+the vocabulary spells them with few tokens.
 """
 
 from __future__ import annotations
@@ -54,8 +56,9 @@ class Rules:
     min_length: int = 20
     #: At most so many characters per token.
     max_ratio: float = 2.0
-    #: Mean length of the letter runs from which on a string is put together from words.
+    #: Letter runs are words from this mean length on, and from so many letters per token.
     word_length: float = 3.0
+    word_ratio: float = 2.2
 
 
 @lru_cache(maxsize=4)
@@ -66,15 +69,17 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("file", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens={})
 
 
-def known_form(string: str, word_length: float) -> bool:
+def known_form(string: str, rules: Rules, tokens: Callable[[str], int]) -> bool:
     """Whether a string is a digest, a UUID, a number, or an identifier made of words."""
     if string.isdigit() or _UUID.fullmatch(string):
         return True
     if len(string) in _DIGEST_LENGTHS and _HEX.fullmatch(string):
         return True
     runs = _LETTERS.findall(string)
-    digits = sum(c.isdigit() for c in string)
-    return bool(runs) and sum(map(len, runs)) >= word_length * len(runs) and 2 * digits <= len(string)
+    letters, digits = sum(map(len, runs)), sum(c.isdigit() for c in string)
+    if not runs or letters < rules.word_length * len(runs) or 2 * digits > len(string):
+        return False
+    return letters >= rules.word_ratio * sum(tokens(" " + run.lower()) for run in runs)
 
 
 def finder(rules: Rules) -> Callable[[str], list[tuple[int, str, int]]]:
@@ -99,9 +104,9 @@ def finder(rules: Rules) -> Callable[[str], list[tuple[int, str, int]]]:
             furthest.append(max(end, furthest[-1] if furthest else 0))
         for m in strings.finditer(text):
             string, before = m.group(), bisect_left(starts, m.end())
-            if before and furthest[before - 1] > m.start() or known_form(string, rules.word_length):
+            if before and furthest[before - 1] > m.start():
                 continue
-            if len(string) <= rules.max_ratio * tokens(string):
+            if len(string) <= rules.max_ratio * tokens(string) and not known_form(string, rules, tokens):
                 spans.append((m.start(), RANDOM, m.end()))
         return sorted(spans, key=lambda s: (s[0], rank[s[1]]))
 

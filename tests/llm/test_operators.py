@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -367,6 +368,26 @@ def test_secrets(spark, odd, documents):
             assert r == (i, text)
 
 
+@pytest.mark.parametrize("signs", [
+    string.ascii_lowercase, string.ascii_uppercase, string.ascii_lowercase + string.digits, string.ascii_uppercase + string.digits,
+    string.ascii_uppercase + "234567", string.ascii_letters, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/",
+])
+def test_random_strings_of_each_alphabet(signs):
+    rnd, find = random.Random(6), secrets.finder(secrets.Rules())
+    for length in (20, 24, 32, 48, 64):
+        found = [find(f"of {''.join(rnd.choices(signs, k=length))} and") for _ in range(300)]
+        assert sum(spans == [(3, "random", 3 + length)] for spans in found) >= 0.96 * len(found)
+
+
+def test_identifiers_and_digests_are_not_random():
+    find = secrets.finder(secrets.Rules())
+    for known in (
+        "getUserAccountById2Fast", "MAX_RETRY_COUNT_PER_HOST", "src/main/java/org/example/Application", "user-profile-settings-page",
+        "AbstractSingletonProxyFactoryBean", "D41D8CD98F00B204E9800998ECF8427E", "f47ac10b-58cc-4372-a567-0e02b2c3d479",
+    ):
+        assert find(f"of {known} and") == []
+
+
 def test_marginals_by_enumeration():
     rnd = np.random.default_rng(2)
     evidence, pairs, start = rnd.normal(size=7), rnd.normal(size=(2, 2)), 0.3

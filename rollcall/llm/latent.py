@@ -5,6 +5,11 @@ the same passage wherever it stands. TF-IDF vectors of passages are projected on
 singular directions of a randomised SVD, and passages close to one of a benchmark item are
 candidates. What the projection only finds alike is then compared word by word: by longest
 common subsequence, and by whether the answer of the item is there.
+
+Passages leave words out, and an item shorter than one has none of its own. So every word of
+a document is also looked up among the rarest words of the items. A leak holds ``partial`` of
+an item's words at least; of any set of its words larger than what it may lack some must be
+there. Places that hold so many close together are candidates too, and none else can be leaks.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.words import Words, small, span_hashes, words_of
+from rollcall.llm.words import Words, positions, small, span_hashes, words_of
 from rollcall.session import pin
 
 
@@ -41,6 +46,10 @@ class Settings:
     shared: int = 7
     #: Of 64 bits that the words of a passage set, so many are common with the item's.
     bits: int = 5
+    #: Rare words looked up beyond those a leak may lack; so many must be found.
+    rare: int = 4
+    #: Words looked up at a time, times the items that have them.
+    places: int = 1 << 21
     #: Share of an item's words that a document holds in order: enough alone, or with the answer.
     whole: float = 0.8
     partial: float = 0.6
@@ -177,6 +186,7 @@ class Index:
     """Projection of each term, its inverse document frequency included."""
 
     projection: np.ndarray
+    idf: np.ndarray
     settings: Settings
 
 
@@ -199,7 +209,50 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Index:
         basis = np.linalg.qr(_applied(sample, idf, basis, settings))[0]
     squares, turn = np.linalg.eigh(basis.T @ _applied(sample, idf, basis, settings))
     leading = basis @ turn[:, np.argsort(-squares)[: settings.rank]]
-    return Index(_weighted(idf, leading), settings)
+    return Index(_weighted(idf, leading), idf, settings)
+
+
+@dataclass(frozen=True)
+class Rare:
+    """Rare words of the items: ``item`` and ``at`` from ``first[k]`` to ``first[k + 1]`` are the places of ``keys[k]``."""
+
+    keys: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
+    at: np.ndarray
+    #: Per item, how many of its rare words a leak holds at least, and in how many words.
+    least: np.ndarray
+    within: np.ndarray
+    #: Whether a word whose hash has these upper bits can be one of the keys.
+    maybe: np.ndarray
+
+
+def _slack(length: int) -> int:
+    """Words looked at before and after the place of an item."""
+    return 8 + length // 4
+
+
+def _rare(lists: list[np.ndarray], index: Index) -> Rare:
+    settings = index.settings
+    least, within, keys, item, at = [], [], [], [], []
+    for i, own in enumerate(lists):
+        n = len(own)
+        needed = next((c for c in range(1, n + 1) if c / n >= min(settings.partial, settings.whole)), n)
+        least.append(min(settings.rare, needed))
+        within.append(n + 2 * _slack(n))
+        rarest = np.argsort(-index.idf[own % np.uint64(settings.terms)], kind="stable")[: n - needed + least[-1]]
+        # All places of a word at once, so that each is an anchor.
+        places = np.flatnonzero(np.isin(own, own[rarest]))
+        keys.append(own[places])
+        at.append(places)
+        item.append(np.full(len(places), i))
+    none = [np.empty(0, np.int64)]
+    words, places, owners = np.concatenate([np.empty(0, np.uint64), *keys]), np.concatenate(none + at), np.concatenate(none + item)
+    order = np.argsort(words, kind="stable")
+    unique, first = np.unique(words[order], return_index=True)
+    maybe = np.zeros(1 << 20, dtype=bool)
+    maybe[unique >> np.uint64(44)] = True
+    return Rare(unique, np.append(first, len(words)), owners[order], places[order], np.array(least), np.array(within), maybe)
 
 
 @dataclass(frozen=True)
@@ -214,6 +267,7 @@ class Items:
     rows: np.ndarray
     bits: np.ndarray
     vectors: np.ndarray
+    rare: Rare
 
 
 def _items(rows: list, index: Index) -> Items:
@@ -234,7 +288,7 @@ def _items(rows: list, index: Index) -> Items:
         answers.append(int(ends[-1]) + 1 if len(ends) else 0)
     wide = _rows(at, doc, words, _narrow(hashes), settings.words, 0)
     vectors = _unit(_embedded(_rows(at, doc, words, terms, settings.words, settings.terms), index.projection))
-    return Items([r.item_id for r in rows], lists, answers, doc, at - words.first[doc] + 1, wide, _bits(wide), vectors)
+    return Items([r.item_id for r in rows], lists, answers, doc, at - words.first[doc] + 1, wide, _bits(wide), vectors, _rare(lists, index))
 
 
 def _narrow(hashes: np.ndarray) -> np.ndarray:
@@ -281,29 +335,88 @@ def _checked(item: np.ndarray, answer: int, region: np.ndarray, settings: Settin
     return share, there, share >= settings.whole or (share >= settings.partial and there)
 
 
+def _anchors(hashes: np.ndarray, words: Words, rare: Rare, settings: Settings) -> Iterator[tuple[int, int, int]]:
+    """Item, document and where the item would begin, for places with enough of its rare words."""
+    at = np.flatnonzero(rare.maybe[hashes >> np.uint64(44)])
+    slot = np.minimum(np.searchsorted(rare.keys, hashes[at]), max(len(rare.keys) - 1, 0))
+    if not len(at):
+        return
+    same = rare.keys[slot] == hashes[at]
+    at, slot = at[same], slot[same]
+    doc = np.searchsorted(words.first, at, side="right") - 1
+    counts = rare.first[slot + 1] - rare.first[slot]
+    # By whole documents, since a place never reaches from one into the next.
+    ends = np.flatnonzero(np.append(np.diff(doc) != 0, True)) + 1 if len(doc) else []
+    lo, done, total = 0, 0, np.cumsum(counts)
+    for hi, after in zip(ends, [*ends[1:], None]):
+        if after is not None and total[after - 1] - done <= settings.places:
+            continue
+        part, done = slice(lo, hi), total[hi - 1]
+        lo, n = hi, counts[part]
+        posting = np.repeat(rare.first[slot[part]], n) + positions(n)
+        item, place, of = rare.item[posting], np.repeat(at[part], n), np.repeat(doc[part], n)
+        order = np.lexsort((place, item))
+        posting, item, place, of = posting[order], item[order], place[order], of[order]
+        begin = np.arange(len(item))
+        end = begin + rare.least[item] - 1
+        inside = np.minimum(end, len(item) - 1)
+        near = (end < len(item)) & (item[inside] == item) & (of[inside] == of) & (place[inside] - place < rare.within[item])
+        edges = np.zeros(len(item) + 1, dtype=np.int64)
+        np.add.at(edges, begin[near], 1)
+        np.add.at(edges, end[near] + 1, -1)
+        hit = np.cumsum(edges[:-1]) > 0
+        found = np.stack([item[hit], of[hit], place[hit] - rare.at[posting[hit]]], axis=1)
+        yield from map(tuple, np.unique(found, axis=0).tolist())
+
+
+def _closest(words: Words, hashes: np.ndarray, d: int, lo: int, hi: int, item: int, index: Index, items: Items) -> float:
+    """Greatest cosine of a passage of the item with any run of words in a region."""
+    settings = index.settings
+    at = np.arange(min(lo + settings.words, hi) - 1, hi)
+    terms = (hashes % np.uint64(settings.terms)).astype(np.int32)
+    vectors = _unit(_embedded(_rows(at, np.full(len(at), d), words, terms, settings.words, settings.terms), index.projection))
+    return float((vectors @ items.vectors[items.item == item].T).max(initial=-1.0))
+
+
 def _found(batch: pa.RecordBatch, index: Index, items: Items) -> dict[tuple[int, int], tuple[float, bool, float]]:
     """Share, answer and cosine of each leak, by row of the batch and item."""
     settings = index.settings
     words, hashes, at, doc, terms = _terms_of(batch.column("text"), settings)
     narrow = _narrow(hashes)
     best: dict[tuple[int, int], tuple[float, bool, float]] = {}
+    known: dict[tuple[int, int, int], tuple[float, bool, bool]] = {}
+
+    def region(item: int, d: int, start: int, slack: int) -> tuple[int, int]:
+        return max(int(words.first[d]), start - slack), min(int(words.first[d + 1]), start + len(items.words[item]) + slack)
+
+    def checked(item: int, d: int, start: int, slack: int) -> tuple[float, bool, bool]:
+        place = (item, *region(item, d, start, slack))
+        if place not in known:
+            known[place] = _checked(items.words[item], items.answers[item], hashes[place[1] : place[2]], settings)
+        return known[place]
+
+    shared = np.minimum(settings.shared, items.at)
+    bits = np.minimum(settings.bits, items.at)
     for lo in range(0, len(at) if len(items.at) else 0, 4096):
         part = slice(lo, lo + 4096)
         cosine = _unit(_embedded(terms[part], index.projection)) @ items.vectors.T
         p, q = np.divmod(np.flatnonzero(cosine >= settings.cosine), len(items.at))
         rows = _rows(at[part], doc[part], words, narrow, settings.words, 0)
-        alike = np.bitwise_count(_bits(rows)[p] & items.bits[q]) >= np.minimum(settings.bits, items.at[q])
+        alike = np.bitwise_count(_bits(rows)[p] & items.bits[q]) >= bits[q]
         p, q = p[alike], q[alike]
-        close = _common(rows[p], items.rows[q]) >= np.minimum(settings.shared, items.at[q])
+        close = _common(rows[p], items.rows[q]) >= shared[q]
         for i, j in zip((p[close] + lo).tolist(), q[close].tolist()):
             item, d = int(items.item[j]), int(doc[i])
-            own = items.words[item]
-            start, slack = at[i] + 1 - items.at[j], 8 + len(own) // 4
-            region = hashes[max(words.first[d], start - slack) : min(words.first[d + 1], start + len(own) + slack)]
-            share, there, leak = _checked(own, items.answers[item], region, settings)
+            share, there, leak = checked(item, d, int(at[i] + 1 - items.at[j]), _slack(len(items.words[item])))
             if leak:
                 found = (share, there, float(cosine[i - lo, j]))
                 best[d, item] = max(best.get((d, item), found), found)
+    for item, d, start in _anchors(hashes, words, items.rare, settings):
+        slack = _slack(len(items.words[item]))
+        share, there, leak = checked(item, d, start, slack)
+        if leak and ((d, item) not in best or (share, there) > best[d, item][:2]):
+            cosine = best[d, item][2] if (d, item) in best else _closest(words, hashes, d, *region(item, d, start, slack), item, index, items)
+            best[d, item] = (share, there, cosine)
     return best
 
 

@@ -439,6 +439,45 @@ def test_leaks(spark, odd, documents):
     assert latent.leaks(odd, odd_items).count() == 0 and latent.without_leaks(odd, odd_items).count() == len(ODD)
 
 
+def plain_words(text):
+    return [w[:-1] if len(w) > 1 and w[-1] in ".,;:!?\"')" else w for w in text.lower().split()]
+
+
+def brute_leak(item, text, slack):
+    """Whether some run of words of the text holds the item by the rules of the operator, whatever finds it."""
+    settings, code = latent.Settings(), {}
+    own, doc = (np.array([code.setdefault(w, len(code)) for w in plain_words(t)]) for t in (item, text))
+    stops = [k for k, w in enumerate(item.split()[:-1]) if w[-1] in ".!?"]
+    length = len(own) + 2 * slack
+    runs = (doc[max(0, k) : max(0, k + length)] for k in range(1 - length, len(doc)))
+    return any(latent._checked(own, stops[-1] + 1 if stops else 0, run, settings)[2] for run in runs)
+
+
+def test_leaks_by_brute_force(spark, documents):
+    """Items without stops, with words replaced or left out."""
+    rnd, items = random.Random(11), [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    vocabulary = [w for _, t in rows_of(documents) for w in words(t)]
+    drop = lambda w, p: [x for x in w if rnd.random() >= p]
+    swap = lambda w, p: [rnd.choice(vocabulary) if rnd.random() < p else x for x in w]
+    ways = [
+        lambda w: [x.rstrip(".!?") for x in w], lambda w: [re.sub("[.!?]$", ",", x) for x in w], lambda w: swap(w, 0.15), lambda w: drop(w, 0.12),
+        lambda w: swap(drop(w, 0.05), 0.1), lambda w: swap(w, 0.3),
+    ]
+    planted, wanted = [], set()
+    for j, item in items:
+        for k, way in enumerate(ways):
+            text = " ".join(rnd.choices(vocabulary, k=40) + way(item.split()) + rnd.choices(vocabulary, k=40))
+            planted.append((100_000 + 100 * j + k, text))
+            if brute_leak(item, text, 8 + len(item.split()) // 4):
+                wanted.add((planted[-1][0], j))
+    frame = documents.select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id bigint, text string"))
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in latent.leaks(frame, benchmark).collect()}
+    assert len(wanted) > 150
+    assert len(wanted & got) >= 0.99 * len(wanted)
+    assert len([1 for i, j in got - wanted if i >= 100_000]) <= 3
+
+
 def test_subsequence():
     rnd = np.random.default_rng(4)
     for _ in range(50):

@@ -232,6 +232,11 @@ def _slack(length: int) -> int:
     return 8 + length // 4
 
 
+def _lookup_slack(length: int, settings: Settings) -> int:
+    """The same for places of rare words; few words of a short item would be in order in any longer run."""
+    return _slack(length) if length >= settings.words else length // 4
+
+
 def _rare(lists: list[np.ndarray], index: Index) -> Rare:
     settings = index.settings
     least, within, keys, item, at = [], [], [], [], []
@@ -239,7 +244,7 @@ def _rare(lists: list[np.ndarray], index: Index) -> Rare:
         n = len(own)
         needed = next((c for c in range(1, n + 1) if c / n >= min(settings.partial, settings.whole)), n)
         least.append(min(settings.rare, needed))
-        within.append(n + 2 * _slack(n))
+        within.append(n + 2 * _lookup_slack(n, settings))
         rarest = np.argsort(-index.idf[own % np.uint64(settings.terms)], kind="stable")[: n - needed + least[-1]]
         # All places of a word at once, so that each is an anchor.
         places = np.flatnonzero(np.isin(own, own[rarest]))
@@ -412,7 +417,7 @@ def _found(batch: pa.RecordBatch, index: Index, items: Items) -> dict[tuple[int,
                 found = (share, there, float(cosine[i - lo, j]))
                 best[d, item] = max(best.get((d, item), found), found)
     for item, d, start in _anchors(hashes, words, items.rare, settings):
-        slack = _slack(len(items.words[item]))
+        slack = _lookup_slack(len(items.words[item]), settings)
         share, there, leak = checked(item, d, start, slack)
         if leak and ((d, item) not in best or (share, there) > best[d, item][:2]):
             cosine = best[d, item][2] if (d, item) in best else _closest(words, hashes, d, *region(item, d, start, slack), item, index, items)

@@ -478,6 +478,18 @@ def test_leaks_by_brute_force(spark, documents):
     assert len([1 for i, j in got - wanted if i >= 100_000]) <= 3
 
 
+def test_items_shorter_than_a_passage(spark, documents):
+    rnd = random.Random(12)
+    vocabulary = [w for _, t in rows_of(documents) for w in words(t)]
+    filler = lambda: " ".join(rnd.choices(vocabulary, k=40))
+    items = [(10 * n + k, " ".join(rnd.choices(vocabulary, k=n)) + ".") for n in (4, 6, 8, 10) for k in range(10)]
+    planted = [(100_000 + j, f"{filler()} {item} {filler()}") for j, item in items]
+    frame = documents.select("doc_id", "text").unionByName(spark.createDataFrame(planted, "doc_id bigint, text string"))
+    got = {(r.doc_id, r.item_id) for r in latent.leaks(frame, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert {(100_000 + j, j) for j, _ in items} <= got
+    assert len([1 for i, j in got if i >= 100_000 and i != 100_000 + j]) <= 3
+
+
 def test_subsequence():
     rnd = np.random.default_rng(4)
     for _ in range(50):

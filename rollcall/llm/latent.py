@@ -44,8 +44,6 @@ class Settings:
     #: Least cosine of a candidate, and words its passage shares in order with the item's.
     cosine: float = 0.87
     shared: int = 7
-    #: Of 64 bits that the words of a passage set, so many are common with the item's.
-    bits: int = 5
     #: Rare words looked up beyond those a leak may lack; so many must be found.
     rare: int = 4
     #: Words looked up at a time, times the items that have them.
@@ -400,8 +398,9 @@ def _found(batch: pa.RecordBatch, index: Index, items: Items) -> dict[tuple[int,
             known[place] = _checked(items.words[item], items.answers[item], hashes[place[1] : place[2]], settings)
         return known[place]
 
+    # As many of 64 bits are common as words must be, less those that the item's passage says twice.
     shared = np.minimum(settings.shared, items.at)
-    bits = np.minimum(settings.bits, items.at)
+    bits = shared - (np.minimum(settings.words, items.at) - np.bitwise_count(items.bits).astype(np.int64))
     for lo in range(0, len(at) if len(items.at) else 0, 4096):
         part = slice(lo, lo + 4096)
         cosine = _unit(_embedded(terms[part], index.projection)) @ items.vectors.T

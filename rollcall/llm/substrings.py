@@ -34,8 +34,8 @@ from rollcall.session import pin
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 #: Places in a packed span: first word above, then 16 bits of the text's checksum, whether the
-#: document holds the span before, and the number of windows.
-_AT, _CHECK, _LATER, _SIZE = 24, 8, 128, 127
+#: document holds the span before, and the number of windows (``length / 2 + 1`` at most) in 15 bits.
+_AT, _CHECK, _LATER, _SIZE = 32, 16, 1 << 15, (1 << 15) - 1
 #: Texts without an id come after all others; among themselves none is earlier.
 _LAST = (1 << 63) - 1
 
@@ -236,7 +236,7 @@ def _kept(texts: DataFrame, length: int, with_text: bool) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = 20, with_text: bool = True) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` and ``kept``, the words left joined by one space.
 
-    A word goes if some window of ``length`` (even) words over it also starts earlier: in a
+    A word goes if some window of ``length`` (even, up to 65,532) words over it also starts earlier: in a
     document of smaller id, or before in the same one. Windows are judged on the texts as
     they come. Needs ``doc_id`` and ``text``; other columns are not read. A null text has
     no words, a text shorter than a window loses none. Texts without an id come after all
@@ -245,6 +245,8 @@ def remove_repeats(docs: DataFrame, length: int = 20, with_text: bool = True) ->
 
     Texts are shuffled once, to meet their verdicts.
     """
+    if length < 2 or length % 2 or length // 2 + 1 > _SIZE:
+        raise ValueError(f"length must be even, from 2 to {2 * _SIZE - 2}: {length}")
     texts = _keyed(docs)
     spans = _span_verdicts(texts, length // 2, length)
     texts = texts.join(pin(spans, "spans"), ["rid", "checksum"], "left")

@@ -154,6 +154,24 @@ def test_repeats_of_random_words(spark):
         assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_repeats(rows, length)
 
 
+def test_repeats_of_long_windows(spark):
+    """A short window stands for up to half the length of full ones."""
+    rnd, rows = random.Random(7), []
+    for i in range(24):
+        text = [f"w{rnd.randrange(3000)}" for _ in range(rnd.randint(200, 900))]
+        if rows and i % 2:
+            other = words(rnd.choice(rows)[1])
+            a = rnd.randint(0, len(other) // 2)
+            text[rnd.randint(0, len(text)) :] = other[a : a + rnd.randint(200, 900)]
+        rows.append((i, " ".join(text)))
+    for length in (258, 300, 512):
+        got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), length, with_text=False).collect()
+        assert sum(r.n_removed for r in got)
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == brute_repeats(rows, length)
+    with pytest.raises(ValueError):
+        substrings.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"), 1 << 17)
+
+
 def brute_fingerprint(text):
     w = words("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
     if not w:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +31,26 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return ship(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
+def matched(rows: DataFrame, keys_table: DataFrame, keys: list[str], total: int, shares: int = 1024) -> DataFrame:
+    """Inner join of ``rows`` with a table of one row per key, whose ``n`` says how many rows have it.
+
+    Nulls match nulls. Keys that hold more than one in ``shares`` of the ``total`` rows, of
+    which there are fewer than ``shares``, are broadcast; the rows of all others are
+    shuffled, where no key can fill a task. ``n`` is not part of the result. Both tables
+    are read twice, so pin them.
+    """
+    named = keys_table.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in keys_table.columns if c not in keys])
+    heavy = F.col("n") * shares > total
+
+    def same(table: DataFrame) -> Column:
+        return reduce(and_, [rows[k].eqNullSafe(table[f"__{k}"]) for k in keys])
+
+    few, rest = F.broadcast(named.where(heavy)), named.where(~heavy)
+    held = rows.join(few, same(few))
+    others = rows.join(few, same(few), "left_anti").join(rest, same(rest))
+    return held.unionByName(others).drop("n", *[f"__{k}" for k in keys])
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """Rows dealt out by key to as many tasks as a shuffle has.
 

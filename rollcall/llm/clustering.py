@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.tables import ship
-from rollcall.llm.vectors import SUMS, LONG_MAX, Sums, as_array, capped, floored, integers, matrix_of, means, squared, whole
+from rollcall.llm.vectors import SUMS, LONG_MAX, Sums, as_array, capped, floored, integers, lists, matrix_of, means, squared, whole
 from rollcall.session import pin
 
 Batches = Iterator[pa.RecordBatch]
@@ -67,7 +67,7 @@ def _moments(settings: Settings) -> Callable[[Batches], Batches]:
             points = np.hstack([floored(matrix, settings.scale), np.ones((len(matrix), 1))])
             total += points.T @ points
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(total), dtype=np.int32)), pa.array(list(total), pa.list_(pa.float64()))], ["i", "row"]
+            [pa.array(np.arange(len(total), dtype=np.int32)), lists(total)], ["i", "row"]
         )
 
     return run
@@ -95,8 +95,8 @@ def _rotated(found: Rotation, settings: Settings) -> Callable[[Batches], Batches
             lead, rest = found.project(points)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("vec_id").filter(pa.array(keep)), pa.array(list(points), pa.list_(pa.float64())),
-                    pa.array(list(lead.astype(np.float32)), pa.list_(pa.float32())), pa.array(rest),
+                    batch.column("vec_id").filter(pa.array(keep)), lists(points),
+                    lists(lead.astype(np.float32)), pa.array(rest),
                 ],
                 ["vec_id", "point", "lead", "rest"],
             )

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.tables import matched, ship
-from rollcall.llm.vectors import SUMS, LONG_MAX, Sums, as_array, capped, floored, integers, matrix_of, means, squared, whole
+from rollcall.llm.vectors import SUMS, LONG_MAX, Sums, as_array, capped, floored, integers, lists, matrix_of, means, squared, whole
 from rollcall.session import pin
 
 Batches = Iterator[pa.RecordBatch]
@@ -99,7 +99,7 @@ def _kept(settings: Settings) -> Callable[[Batches], Batches]:
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("vec_id").filter(mask), batch.column("label").filter(mask),
-                 pa.array(list(floored(matrix, settings.scale)), pa.list_(pa.float64()))],
+                 lists(floored(matrix, settings.scale))],
                 ["vec_id", "label", "point"],
             )
 

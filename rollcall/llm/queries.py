@@ -152,16 +152,16 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SQL["op11_shared_lines"] = rf"""
 with texts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
 split as (
-  select doc_id, unnest(lines) as line, unnest(range(len(lines))) as at from texts
+  select doc_id, unnest(lines) as line, unnest(range(len(lines))) as place from texts
 ), keyed as (
   select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_LOWER}') as key from split
 ), shared as (
   select key, max(doc_id) as keeper from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5
 ), marked as (
-  select k.doc_id, k.at, k.line, coalesce(k.doc_id <> s.keeper, false) as gone from keyed k left join shared s on k.key = s.key
+  select k.doc_id, k.place, k.line, coalesce(k.doc_id <> s.keeper, false) as gone from keyed k left join shared s on k.key = s.key
 )
 select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) order by at) filter (where not gone), '')) as kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
 from marked group by doc_id
 """
 

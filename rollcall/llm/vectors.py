@@ -41,6 +41,12 @@ def integers(matrix: np.ndarray) -> np.ndarray:
     return out if np.abs(matrix).max(initial=0) < NARROW else out.astype(object)
 
 
+def lists(matrix: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    n, dims = matrix.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * np.int32(dims)), pa.array(matrix.ravel()))
+
+
 def matrix_of(column: pa.Array, dims: int) -> np.ndarray:
     """Lists that are known to be whole, as a matrix."""
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)

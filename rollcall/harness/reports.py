@@ -170,7 +170,7 @@ def run(spark: SparkSession, sf: str, family: Family, name: str) -> DataFrame:
     clean = family.clean(raw, known, EventConfig())
     first = needed_reports(family, name)[0]
     if isinstance(first, ReportSpec) and first.order and first.ties == ORDINAL:
-        # Range partitioning reads its input twice, which is cheaper than to make it twice.
+        # Numbering scans its input for the sort key, which is cheaper than to make it each time.
         clean = pin(clean.select([quoted(c) for c in clean.columns if c in first.read]), "clean")
     choices = family.edit_choices(choice_frame(spark, CHOICES[family.name]))
     return published(build_reports(family, clean, choices, only=name)[name][1])

@@ -152,7 +152,7 @@ def orders_collapse(spark, sf):
     rows = orders.join(positions, F.col("o_orderkey") == F.col("l_orderkey"))
     spec = ReportSpec(
         "orders", "rows", ("o_orderkey", "o_orderstatus", "ordered", "first_flag", "returned"),
-        order=(Ranked("o_orderstatus", ("O", "F")), "ordered"), ties=("o_orderkey",),
+        order=(Ranked("o_orderstatus", ("O", "F")), "ordered"), ties=("o_orderkey",), costly=True,
     )
     return run_spec(spec, {"rows": rows})
 

@@ -1,14 +1,17 @@
-"""Row numbers over a total order, without a single-task sort.
-
-Rows are range-partitioned by the full sort key, which ends in a unique tie-break,
-so that even a value a third of all rows share is spread over many tasks. The
-sorted rows are pinned once; after that the number of a row is its position in its
-partition plus the rows in all partitions before.
+"""Row numbers over a total order, in one wide shuffle and without a single-task sort.
+
+Three narrow passes read the sort key alone: one counts rows, one samples keys, whose
+quantiles are the bounds of ranges, and one, part of the plan, counts the rows of each
+range. The whole rows then go through a single exchange by range, are sorted and numbered
+in their range, and the rows before the range are added. The sort key ends in a unique
+tie-break, so that even a value a third of all rows share is spread over many ranges. Bounds
+decide only how evenly rows are dealt; numbers are right with any.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -16,16 +19,27 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.text import as_column
 from rollcall.operators.shaping import quoted
-from rollcall.session import pin
 
-SLOT = "__slot"
-PART = "__part"
-LOCAL_BITS = 33  # fixed by monotonically_increasing_id(): partition id above, row below
+RANGE = "__range"
+BOUNDS = "__bounds"
+KEY = "__key"
+
+
+@dataclass(frozen=True)
+class Ranging:
+    """How finely rows are cut into ranges; each is sorted by one task."""
 
+    #: Rows of a range, where there are enough of them.
+    rows: int = 1_000_000
+    #: With fewer rows there are still as many ranges as the session shuffles to, of at least so many rows.
+    least_rows: int = 1_000
+    #: At most so many ranges, a bound on what the driver holds of a table of any size.
+    most: int = 1 << 14
+    #: Keys sampled for each range.
+    sampled: int = 16
 
-def _part() -> Column:
-    """The range partition a pinned row was sorted in."""
-    return F.shiftrightunsigned(F.col(SLOT), LOCAL_BITS)
+
+RANGING = Ranging()
 
 
 def ascending(*columns: Column | str) -> list[Column]:
@@ -33,6 +47,58 @@ def ascending(*columns: Column | str) -> list[Column]:
     return [as_column(c).asc_nulls_last() for c in columns]
 
 
+def sort_key(*columns: Column | str) -> Column:
+    """The keys as one struct that compares as the rows sort: nulls last."""
+    fields = []
+    for i, c in enumerate(columns):
+        fields += [as_column(c).isNull().alias(f"n{i}"), as_column(c).alias(f"k{i}")]
+    return F.struct(*fields)
+
+
+@dataclass(frozen=True)
+class Bounds:
+    """One row with the sorted array of keys at which a new range begins."""
+
+    keys: DataFrame
+    ranges: int
+
+
+def range_bounds(df: DataFrame, keys: Sequence[Column | str], ranging: Ranging = RANGING) -> Bounds | None:
+    """Quantiles of the sort key; none for a single range.
+
+    Rows are sampled by a hash, so the sample is drawn where the rows are. About
+    ``most * sampled`` keys at most meet in one task, of which ``most`` reach the driver.
+    """
+    spark = df.sparkSession
+    rows = df.count()
+    side_by_side = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(max(-(-rows // ranging.rows), min(side_by_side, -(-rows // ranging.least_rows))), ranging.most)
+    if ranges < 2:
+        return None
+    wanted = min(1.0, ranges * ranging.sampled / rows)
+    # A hash of the place too, as equal keys would otherwise all be in the sample or none.
+    drawn = F.xxhash64(*keys, F.monotonically_increasing_id()) < F.lit(int((2 * wanted - 1) * (2**63 - 1)))
+    sample = df.where(drawn).select(sort_key(*keys).alias("key")).agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    each = F.sequence(F.lit(1), F.lit(ranges - 1))
+    at = F.transform(each, lambda i: F.get("keys", F.floor(i * F.size("keys") / ranges).cast("int")))
+    found = sample.select(F.filter(at, lambda b: b.isNotNull()).alias(BOUNDS)).toArrow()
+    n = len(found[BOUNDS][0])
+    return Bounds(spark.createDataFrame(found, sample.select(F.col("keys").alias(BOUNDS)).schema), n + 1) if n else None
+
+
+def with_range(df: DataFrame, keys: Sequence[Column | str], bounds: Bounds) -> DataFrame:
+    """Add the number of bounds that are not above the row's key, by binary search.
+
+    A projection per halving, so that the search is compiled with the rest of the plan.
+    """
+    found = df.withColumns({BOUNDS: bounds.keys.scalar(), KEY: sort_key(*keys), RANGE: F.lit(0)})
+    for step in (1 << b for b in reversed(range((bounds.ranges - 1).bit_length()))):
+        # Past the last bound ``get`` is null and the place stays.
+        above = F.get(F.col(BOUNDS), F.col(RANGE) + (step - 1)) <= F.col(KEY)
+        found = found.withColumn(RANGE, F.when(above, F.col(RANGE) + step).otherwise(F.col(RANGE)))
+    return found.drop(BOUNDS, KEY)
+
+
 def in_order(df: DataFrame, *keys: Column | str) -> DataFrame:
     """Globally sorted, nulls last; the last key should make the order total."""
     return df.orderBy(*ascending(*keys))
@@ -45,54 +111,42 @@ def number_rows(
     start: int = 1,
     group: Sequence[str] = (),
     drop: Sequence[str] = (),
+    ranging: Ranging = RANGING,
 ) -> DataFrame:
     """Number rows in sort order, per group if one is given.
 
-    ``order`` must be total. ``drop`` names helper columns only the order needs.
+    ``order`` must be total. ``drop`` names helper columns only the order needs. The
+    result lies in the order of its partitions, each sorted. ``df`` is read three times
+    for its sort key and once as a whole: pin it where it costs more than a scan.
     """
-    ranges = ascending(*[quoted(g) for g in group], *order)
-    sorted_rows = (
-        df.repartitionByRange(*ranges)
-        .sortWithinPartitions(*ranges)
-        .withColumn(SLOT, F.monotonically_increasing_id())
-        .drop(*drop)
-    )
-    rows = pin(sorted_rows, "numbered")
-    numbered = rows.join(F.broadcast(_rows_before(rows)), _part() == F.col(PART)).withColumn(
-        into, F.col("__before") + F.col(SLOT).bitwiseAND((1 << LOCAL_BITS) - 1)
-    )
-    numbered = numbered.drop(SLOT, PART, "__before")
-    if group:
-        numbered = _restart_per_group(numbered, group, into)
-    return numbered.withColumn(into, F.col(into) + F.lit(start).cast("bigint"))
-
-
-def _rows_before(rows: DataFrame) -> DataFrame:
-    """Per range partition the number of rows in earlier ones.
-
-    As many rows as range partitions, a number the session sets, so that it is
-    safe to order them in one task and to broadcast them.
-    """
-    sizes = rows.groupBy(_part().alias(PART)).agg(F.count("*").alias("__size"))
-    before = F.sum("__size").over(W.orderBy(PART).rowsBetween(W.unboundedPreceding, -1))
-    return sizes.select(PART, F.coalesce(before, F.lit(0)).alias("__before"))
-
-
-def _restart_per_group(rows: DataFrame, group: Sequence[str], into: str) -> DataFrame:
-    """Subtract the first number of each group.
-
-    One row per group on the right side: Spark broadcasts it when it is small and
-    otherwise joins by key, splitting groups that are too large for one task.
+    groups = [quoted(g) for g in group]
+    keys = [*groups, *order]
+    bounds = range_bounds(df, keys, ranging)
+    if bounds is None:
+        dealt = df.repartitionById(1, F.lit(0)).withColumn(RANGE, F.lit(0))
+    else:
+        dealt = with_range(df, keys, bounds).repartitionById(bounds.ranges, F.col(RANGE))
+    within = F.row_number().over(W.partitionBy(RANGE, *groups).orderBy(*ascending(*order)))
+    numbered = dealt.withColumn(into, within.cast("bigint"))
+    if bounds is not None:
+        before = _rows_before(with_range(df, keys, bounds), groups)
+        same = F.col(RANGE) == F.col("__of_range")
+        for i, g in enumerate(groups):
+            same = same & g.eqNullSafe(F.col(f"__of_group{i}"))
+        numbered = numbered.join(F.broadcast(before), same, "left").withColumn(into, F.col(into) + F.coalesce("__before", F.lit(0)))
+        numbered = numbered.drop(*before.columns)
+    return numbered.withColumn(into, F.col(into) + F.lit(start - 1).cast("bigint")).drop(RANGE, *drop)
+
+
+def _rows_before(ranged: DataFrame, groups: Sequence[Column]) -> DataFrame:
+    """Per range the number of rows in earlier ones, of the group that continues into it.
+
+    Ranges cut the order, so of each group only its later ranges have rows before them,
+    and a range continues one group at most: no more rows than ranges, which is safe
+    to broadcast. Without groups, as many rows are put in order in one task.
     """
-    keys = {f"__g{i}": quoted(g) for i, g in enumerate(group)}
-    firsts = rows.groupBy(*[c.alias(k) for k, c in keys.items()]).agg(
-        F.min(into).alias("__first")
-    )
-    same = F.lit(True)
-    for k, c in keys.items():
-        same = same & c.eqNullSafe(F.col(k))
-    return (
-        rows.join(firsts, same, "left")
-        .withColumn(into, F.col(into) - F.col("__first"))
-        .drop("__first", *keys)
-    )
+    named = [g.alias(f"__of_group{i}") for i, g in enumerate(groups)]
+    sizes = ranged.groupBy(F.col(RANGE).alias("__of_range"), *named).agg(F.count("*").alias("__size"))
+    earlier = W.partitionBy(*[f"__of_group{i}" for i in range(len(groups))]).orderBy("__of_range")
+    before = F.sum("__size").over(earlier.rowsBetween(W.unboundedPreceding, -1))
+    return sizes.withColumn("__before", before).drop("__size").where(F.col("__before") > 0)

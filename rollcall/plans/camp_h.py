@@ -155,7 +155,7 @@ FAMILY = Family(
         CountSpec("Anmeldezahlen", "clean", PLACE, PLACE, {"Anmeldungen": None}),
         ReportSpec(
             "Bestellungen", "clean", ORDERS, folder="Finanzen",
-            step=order_step(ORDERS, "Zuschussantrag"), order=BY_STATUS, ties=("Bestellnummer",),
+            step=order_step(ORDERS, "Zuschussantrag"), order=BY_STATUS, ties=("Bestellnummer",), costly=True,
         ),
         ReportSpec("Notfallkontakte", "Teilnehmerdaten", CONTACTS, numbers="keep"),
         ReportSpec("Sani", "Teilnehmerdaten", MEDICAL, numbers="keep"),

@@ -185,7 +185,7 @@ def town_reports(
         CountSpec("Anmeldezahlen", "clean", "Ort", "Ort", {"Anmeldungen": None}, where=going),
         ReportSpec(
             "Bestellungen", "clean", ORDERS, folder="Finanzen",
-            step=order_step(ORDERS, "Zuschuss beantragt"), order=BY_STATUS, ties=("Bestellnummer",),
+            step=order_step(ORDERS, "Zuschuss beantragt"), order=BY_STATUS, ties=("Bestellnummer",), costly=True,
         ),
         ReportSpec(
             "Spenden", "clean", DONATIONS, folder="Finanzen",

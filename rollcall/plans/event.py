@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from rollcall.operators.counting import LABEL, choices_and_observed
 from rollcall.operators.numbering import number_rows
 from rollcall.operators.shaping import quoted, widen
 from rollcall.plans import camp_h, camp_l, camp_t, day_j
-from rollcall.plans.common import CARRIED, CountSpec, Family, Known
+from rollcall.plans.common import CountSpec, Family, Known
 from rollcall.plans.spec import NUMBER, EventConfig, ReportSpec, run_spec
 from rollcall.session import configure, pin, scratch
 from rollcall.sinks.reports import (
@@ -67,21 +67,31 @@ class Landing:
 
 @dataclass
 class Inputs:
-    raw: DataFrame
+    tickets: DataFrame
     questions: DataFrame
     known: Known
     choices: DataFrame
 
+    @property
+    def raw(self) -> DataFrame:
+        """The tickets, numbered from 0 in input order."""
+        return number_rows(self.tickets, ORDINAL, into=NUMBER, start=0)
 
-def number_tickets(flat: DataFrame) -> DataFrame:
-    """Tickets numbered from 0 in input order, pinned; incomplete pages fail.
 
-    Parsed once: range partitioning reads its input twice.
+def checked_tickets(flat: DataFrame) -> DataFrame:
+    """Ticket positions of a flat table; incomplete pages and a table without rows fail.
+
+    Parsed once and pinned, as all that follows reads them again.
     """
     parsed = pin(flat, "flat")
     begins = (F.coalesce("order_pos", F.lit(0)) == 0) & (F.coalesce("position_pos", F.lit(0)) == 0)
     check_complete(parsed.select("page_no", "next", "order_pos", "position_pos"), begins)
-    return number_rows(require_rows(tickets(parsed)), ORDINAL, into=NUMBER, start=0)
+    return require_rows(tickets(parsed))
+
+
+def number_tickets(flat: DataFrame) -> DataFrame:
+    """Checked tickets, numbered from 0 in input order."""
+    return number_rows(checked_tickets(flat), ORDINAL, into=NUMBER, start=0)
 
 
 def read_inputs(spark: SparkSession, family: Family, landing: Landing) -> Inputs:
@@ -93,7 +103,7 @@ def read_inputs(spark: SparkSession, family: Family, landing: Landing) -> Inputs
     details = read_question_details(spark, landing.path("question_details"))
     check_details(questions, details, family.place_question)
     return Inputs(
-        raw=number_tickets(flat_positions(pages, items)),
+        tickets=checked_tickets(flat_positions(pages, items)),
         questions=questions,
         known=question_ids(questions, family.questions),
         choices=family.edit_choices(read_choices(questions, details, family.place_question)),
@@ -127,16 +137,28 @@ def needed_reports(family: Family, only: str | None) -> list[ReportSpec | CountS
 
 
 def build_reports(
-    family: Family, clean: DataFrame, choices: DataFrame, only: str | None = None
+    family: Family,
+    clean: DataFrame,
+    choices: DataFrame,
+    only: str | None = None,
+    hold: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> dict[str, tuple[ReportSpec | CountSpec, DataFrame]]:
-    """The reports of a family over its clean table, each possibly made from earlier ones."""
+    """The reports of a family over its clean table, each possibly made from earlier ones.
+
+    ``hold`` is given each report that others are made from: pin it where several are
+    written, else each of them numbers its rows anew.
+    """
     sources = {"clean": clean}
     built = {}
-    for spec in needed_reports(family, only):
+    needed = needed_reports(family, only)
+    for spec in needed:
         if isinstance(spec, CountSpec):
             df = spec.run(sources, choices)
         else:
-            df = sources[spec.name] = run_spec(spec, sources)
+            df = run_spec(spec, sources)
+            if any(other.source == spec.name for other in needed):
+                df = hold(df, "numbered")
+            sources[spec.name] = df
         built[spec.name] = (spec, df)
     return built
 
@@ -150,12 +172,13 @@ def write_reports(
     family: Family, inputs: Inputs, config: EventConfig, root: str, run_id: str, out: str
 ) -> None:
     """Write everything below ``root``, then list it in the manifest."""
-    spark, fmt = inputs.raw.sparkSession, config.report_format
+    spark, fmt = inputs.tickets.sparkSession, config.report_format
     raw_name = "Raw_Data" if family is day_j.FAMILY else "Unsortiert/Rohdaten"
-    raw = raw_report(inputs.raw, inputs.questions)
+    tickets_in_order = pin(inputs.raw, "raw")
+    raw = raw_report(tickets_in_order, inputs.questions)
     # As columns, so that a report that needs few of them reads no more.
-    clean = pin(clean_table(family, inputs.raw, inputs.known, config), "clean")
-    reports = build_reports(family, clean, inputs.choices)
+    clean = pin(clean_table(family, tickets_in_order, inputs.known, config), "clean")
+    reports = build_reports(family, clean, inputs.choices, hold=pin)
 
     written = [(raw_name, raw)]
     write_report(raw, f"{root}/{raw_name}", fmt, NUMBER if fmt == "csv" else None)
@@ -198,7 +221,7 @@ def state_of(inputs: Inputs, family: Family, config: EventConfig) -> tuple[int,
     Besides the tickets these are the catalogue, the choices, and what the family, the
     configuration and this version make of them.
     """
-    seen = fingerprint(inputs.raw, ignore=CARRIED).first()
+    seen = fingerprint(inputs.tickets, ignore=ORDINAL).first()
     others = [r["checksum"] for r in fingerprint(inputs.questions).unionAll(fingerprint(inputs.choices)).collect()]
     shown = (config.time_zone, config.width_cap, config.report_format, config.blank_is_null)
     parts = [seen["checksum"], str(seen["rows"]), *others, family.name, *map(str, shown), __version__]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rollcall.functions.values import differs, equals, has_text, not_blank, rank_of
 from rollcall.operators.numbering import number_rows
 from rollcall.operators.shaping import drop_columns, quoted, require, select_known
+from rollcall.session import pin
 from rollcall.sources.registrations import ORDINAL
 
 NUMBER = "Nr"
@@ -61,7 +62,8 @@ class ReportSpec:
 
     ``step`` is an own ``DataFrame -> DataFrame`` after the filter. ``ties`` completes
     the sort keys to a total order. With ``numbers="keep"`` the report keeps the
-    numbers of its source, whose order it shares.
+    numbers of its source, whose order it shares. ``costly`` rows are written once before
+    they are numbered, where a step takes more than the scans that numbering makes.
     """
 
     name: str
@@ -76,6 +78,7 @@ class ReportSpec:
     redact: tuple[str, ...] = ()
     numbers: str = "new"
     first_number: int = 1
+    costly: bool = False
     keep: tuple[str, ...] = field(default=(), repr=False)
 
     @property
@@ -136,8 +139,9 @@ def run_spec(spec: ReportSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
             for key, name in zip(spec.order, keys)
         ]
         carried = [c for c in dict.fromkeys([*spec.ties, *spec.keep, *keys]) if c not in shown]
+        rows = df.select(*map(quoted, [*shown, *carried]))
         numbered = number_rows(
-            df.select(*map(quoted, [*shown, *carried])),
+            pin(rows, "rows") if spec.costly else rows,
             [*order, *map(quoted, spec.ties)],
             into=NUMBER,
             start=spec.first_number,

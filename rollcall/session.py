@@ -55,9 +55,8 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="rollcall-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -88,15 +87,15 @@ def _remove(spark: SparkSession, name: str) -> bool:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
     """Remove what is pinned inside, and only that, at the end, also after a failure.
 
-    All that is read from it must have been written by then.
+    All that is read from it must have been written by then. Gives the list of what is pinned.
     """
     made: list[str] = []
     token = _MADE.set(made)
     try:
-        yield
+        yield made
     finally:
         _MADE.reset(token)
         for path in made:

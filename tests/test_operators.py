@@ -1,11 +1,13 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rollcall.operators import changes, collapsing, counting, lookup, shaping
-from rollcall.operators.numbering import ascending, number_rows
+from rollcall.operators.numbering import RANGE, Ranging, ascending, number_rows, range_bounds, with_range
+from rollcall.session import scratch
 from rollcall.sinks.reports import escape_formulas, width_profile
 
 
@@ -77,15 +79,46 @@ def test_numbers_equal_a_plain_window(spark, seed):
     assert rows(got.select(*naive.columns), "i") == rows(naive, "i")
 
 
-def test_hot_key_is_spread_over_partitions(spark):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        df = spark.range(20000).select("id", F.lit("same").alias("n"))
-        ranged = df.repartitionByRange(*ascending("n", "id"))
-        sizes = [r[1] for r in ranged.groupBy(F.spark_partition_id()).count().collect()]
-        assert len(sizes) == 4 and max(sizes) < 8000
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+FINE = Ranging(rows=50, least_rows=1, sampled=8)
+
+
+def test_numbering_by_many_ranges(spark):
+    """Bounds cut groups, ties of keys, nulls and equal rows anywhere; numbers are those of one window."""
+    df = spark.range(3000).select(
+        F.col("id").alias("i"),
+        F.expr("case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else concat('n', id % 11) end").alias("n"),
+        F.expr("case when id % 5 < 2 then 'big' when id % 5 = 2 then null else cast(id % 600 as string) end").alias("g"),
+        F.expr("cast(id % 13 as decimal(5,1)) / 2").alias("d"),
+        F.expr("timestamp '2025-01-01 00:00:00' + make_interval(0, 0, 0, id % 17)").alias("t"),
+    )
+    order = ["n", "d", "t", "i"]
+    naive = df.withColumn("nr", F.row_number().over(W.orderBy(*ascending(*order))).cast("bigint"))
+    numbered = number_rows(df, order, ranging=FINE)
+    assert rows(numbered, "i") == rows(naive, "i")
+    # In the order of its partitions: what is written is sorted.
+    assert [r["nr"] for r in numbered.collect()] == list(range(1, 3001))
+    naive = df.withColumn("nr", F.row_number().over(W.partitionBy("g").orderBy(*ascending(*order))).cast("bigint"))
+    assert rows(number_rows(df, order, group=["g"], ranging=FINE), "i") == rows(naive, "i")
+    twice = df.select("g").unionByName(df.select("g"))
+    assert [r["nr"] for r in number_rows(twice, ["g"], ranging=FINE).collect()] == list(range(1, 6001))
+
+
+def test_hot_key_is_spread_over_ranges(spark):
+    df = spark.range(20000).select("id", F.lit("same").alias("n"))
+    bounds = range_bounds(df, ["n", "id"], Ranging(rows=1000))
+    sizes = [r["count"] for r in with_range(df, ["n", "id"], bounds).groupBy(RANGE).count().collect()]
+    assert len(sizes) == bounds.ranges == 20 and max(sizes) < 2500
+
+
+def test_numbering_writes_nothing_and_shuffles_rows_once(spark):
+    with scratch(spark) as made:
+        df = spark.range(9000).select("id", F.hash("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("wide"))
+        numbered = number_rows(df, ["k", "id"], ranging=FINE)
+        plan = numbered._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+        assert made == []
+    exchanges = [line for line in plan.splitlines() if re.search(r"[-+ ]Exchange ", line)]
+    # The rows themselves, the counts per range, and these in order.
+    assert sum("shufflepartitionidpassthrough" in line for line in exchanges) == 1 and len(exchanges) == 3
 
 
 def test_numbering_an_empty_table(spark):

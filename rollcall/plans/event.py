@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall import __version__
-from rollcall.operators.changes import fingerprint
 from rollcall.operators.counting import LABEL, choices_and_observed
 from rollcall.operators.numbering import number_rows
 from rollcall.operators.shaping import quoted, widen
@@ -40,70 +39,51 @@ from rollcall.sources.catalogue import (
     read_questions,
     wide_columns,
 )
-from rollcall.sources.pages import ITEM, ORDER, QUESTION, check_complete, read_pages
-from rollcall.sources.registrations import (
-    FIXED_COLUMNS,
-    ORDINAL,
-    flat_positions,
-    require_rows,
-    tickets,
-)
+from rollcall.sources.landings import Landing, Seen, all_parsed, look
+from rollcall.sources.pages import check_complete
+from rollcall.sources.registrations import FIXED_COLUMNS, ORDINAL, require_rows, tickets, with_item_names
 
 FAMILIES: Mapping[str, Family] = {
     f.name: f for f in (camp_h.FAMILY, camp_l.FAMILY, camp_t.FAMILY, day_j.FAMILY)
 }
 
 
-@dataclass(frozen=True)
-class Landing:
-    """Where the collections of one snapshot lie."""
-
-    root: str
-    lines: bool = False
-
-    def path(self, collection: str) -> str:
-        return f"{self.root.rstrip('/')}/{collection}"
-
-
 @dataclass
 class Inputs:
-    tickets: DataFrame
+    """What the reports of a snapshot are made from; the positions are parsed and pinned."""
+
+    positions: DataFrame
+    items: DataFrame
     questions: DataFrame
     known: Known
     choices: DataFrame
 
     @property
     def raw(self) -> DataFrame:
-        """The tickets, numbered from 0 in input order."""
-        return number_rows(self.tickets, ORDINAL, into=NUMBER, start=0)
+        """The tickets, numbered from 0 in input order, with the names of their items."""
+        numbered = number_rows(tickets(self.positions), ORDINAL, into=NUMBER, start=0)
+        return with_item_names(numbered, self.items, NUMBER)
 
 
-def checked_tickets(flat: DataFrame) -> DataFrame:
-    """Ticket positions of a flat table; incomplete pages and a table without rows fail.
+def number_tickets(flat: DataFrame) -> DataFrame:
+    """Tickets of a flat table, numbered from 0 in input order; incomplete pages fail.
 
-    Parsed once and pinned, as all that follows reads them again.
+    Parsed once and pinned, as checking and numbering read it again.
     """
     parsed = pin(flat, "flat")
     begins = (F.coalesce("order_pos", F.lit(0)) == 0) & (F.coalesce("position_pos", F.lit(0)) == 0)
     check_complete(parsed.select("page_no", "next", "order_pos", "position_pos"), begins)
-    return require_rows(tickets(parsed))
-
-
-def number_tickets(flat: DataFrame) -> DataFrame:
-    """Checked tickets, numbered from 0 in input order."""
-    return number_rows(checked_tickets(flat), ORDINAL, into=NUMBER, start=0)
+    return number_rows(require_rows(tickets(parsed)), ORDINAL, into=NUMBER, start=0)
 
 
-def read_inputs(spark: SparkSession, family: Family, landing: Landing) -> Inputs:
-    pages = read_pages(spark, landing.path("orders"), ORDER, landing.lines)
-    for collection, record in (("questions", QUESTION), ("items", ITEM)):
-        check_complete(read_pages(spark, landing.path(collection), record, landing.lines).select("page_no", "next"))
+def read_inputs(spark: SparkSession, family: Family, landing: Landing, seen: Seen) -> Inputs:
+    """The collections of a snapshot, of which pages were read now are not parsed again."""
     questions = read_questions(spark, landing.path("questions"), landing.lines)
-    items = read_items(spark, landing.path("items"), landing.lines)
     details = read_question_details(spark, landing.path("question_details"))
     check_details(questions, details, family.place_question)
     return Inputs(
-        tickets=checked_tickets(flat_positions(pages, items)),
+        positions=all_parsed(spark, landing, seen),
+        items=read_items(spark, landing.path("items"), landing.lines),
         questions=questions,
         known=question_ids(questions, family.questions),
         choices=family.edit_choices(read_choices(questions, details, family.place_question)),
@@ -172,7 +152,7 @@ def write_reports(
     family: Family, inputs: Inputs, config: EventConfig, root: str, run_id: str, out: str
 ) -> None:
     """Write everything below ``root``, then list it in the manifest."""
-    spark, fmt = inputs.tickets.sparkSession, config.report_format
+    spark, fmt = inputs.positions.sparkSession, config.report_format
     raw_name = "Raw_Data" if family is day_j.FAMILY else "Unsortiert/Rohdaten"
     tickets_in_order = pin(inputs.raw, "raw")
     raw = raw_report(tickets_in_order, inputs.questions)
@@ -215,17 +195,15 @@ def write_reports(
     append_rows(widths.withColumn("run_id", F.lit(run_id)), f"{out}/_widths")
 
 
-def state_of(inputs: Inputs, family: Family, config: EventConfig) -> tuple[int, str]:
-    """Rows of the input, and a checksum of all that the reports are made from.
+def state_of(seen: Seen, family: Family, config: EventConfig) -> str:
+    """A checksum of all that the reports are made from.
 
-    Besides the tickets these are the catalogue, the choices, and what the family, the
-    configuration and this version make of them.
+    Besides the landed pages these are what the family, the configuration and this
+    version make of them.
     """
-    seen = fingerprint(inputs.tickets, ignore=ORDINAL).first()
-    others = [r["checksum"] for r in fingerprint(inputs.questions).unionAll(fingerprint(inputs.choices)).collect()]
     shown = (config.time_zone, config.width_cap, config.report_format, config.blank_is_null)
-    parts = [seen["checksum"], str(seen["rows"]), *others, family.name, *map(str, shown), __version__]
-    return seen["rows"], hashlib.sha256("\n".join(parts).encode()).hexdigest()
+    parts = [seen.checksum, family.name, family.place_question, *map(str, shown), __version__]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
 
 
 def run_event(
@@ -240,22 +218,24 @@ def run_event(
 
     Reports go to a folder of their own per run. They become current with the run
     record, so that a run that fails half way changes nothing for readers. Input
-    that equals the last one is skipped, unless the last run failed. Tables pinned on
-    the way are removed at the end.
+    that equals the last one is skipped, unless the last run failed; pages that a run
+    has read before are not even opened for that (``sources.landings``). Tables pinned
+    on the way are removed at the end.
     """
     configure(spark, case_sensitive=True)
     run_id = run_id or uuid.uuid4().hex
     rows = checksum = None
     try:
         with scratch(spark):
-            inputs = read_inputs(spark, family, landing)
-            rows, checksum = state_of(inputs, family, config)
-            last = last_run(spark, out)
-            if last and last["status"] != FAILED and last["checksum"] == checksum:
+            seen = look(spark, landing, out)
+            state, last = state_of(seen, family, config), last_run(spark, out)
+            if last and last["status"] != FAILED and last["checksum"] == state:
                 outcome, error = UNCHANGED, None
             else:
+                inputs = read_inputs(spark, family, landing, seen)
                 write_reports(family, inputs, config, f"{out}/{run_id}", run_id, out)
                 outcome, error = SUCCESS, None
+            rows, checksum = seen.rows, state
     except Exception as e:  # the run log takes every failure, as the next run depends on it
         outcome, error = FAILED, f"{type(e).__name__}: {e}"
     record_run(spark, out, run_id, config.time_zone, outcome, error, rows, checksum)

@@ -49,7 +49,7 @@ class EventConfig:
 
     time_zone: str = "Europe/Berlin"
     width_cap: int = 30
-    interval_minutes: int = 15
+    interval_minutes: float = 15
     run_once: bool = False
     report_format: str = "parquet"
     blank_is_null: bool = True

@@ -38,13 +38,16 @@ def _parts(struct: str, fields: list[str], prefix: str) -> list[Column]:
     ]
 
 
-def order_rows(pages: DataFrame) -> DataFrame:
-    """One row per order; a page without orders keeps one row without ``order_pos``."""
+def order_rows(pages: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """One row per order; a page without orders keeps one row without ``order_pos``.
+
+    ``carried`` columns of the page come with each order.
+    """
     fields = [f.split()[0] for f in ADDRESS.split(", ")]
     return pages.select(
-        "page_no", "next", F.posexplode_outer("results").alias("order_pos", "o")
+        "page_no", "next", *carried, F.posexplode_outer("results").alias("order_pos", "o")
     ).select(
-        "page_no", "next", "order_pos",
+        "page_no", "next", *carried, "order_pos",
         F.col("o.code").alias("order_code"), "o.status", "o.email", "o.total",
         F.col("o.datetime").alias("date"),
         F.col("o.invoice_address").alias("invoice_address"),
@@ -99,9 +102,13 @@ def named_answers(
 
 def flat_positions(pages: DataFrame, items: DataFrame) -> DataFrame:
     """Raw table with ``answers`` by question id, ordinal and ``next``; see ``tickets``."""
-    positions = position_rows(order_rows(pages))
+    return with_item_names(position_rows(order_rows(pages)), items, "next")
+
+
+def with_item_names(positions: DataFrame, items: DataFrame, *carried: str) -> DataFrame:
+    """Positions with the name of their item: ordinal, ``carried``, fixed columns and answers."""
     named = lookup_name(positions, "item_id", items, "Item ", "item_name", embedded="__item_name")
-    return named.select(*ORDINAL, "next", *FIXED_COLUMNS, "answers")
+    return named.select(*ORDINAL, *carried, *FIXED_COLUMNS, "answers")
 
 
 def tickets(flat: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from rollcall.plans.event import (
 from rollcall.plans.spec import EventConfig, ReportSpec, lint
 from rollcall.session import configure, scratch_root
 from rollcall.sinks.runs import runs
+from rollcall.sources.landings import known_pages, look
 from tests.landing import DEFAULT_CHOICES, event_of, order, write_json
 
 CONFIG = EventConfig()
@@ -21,7 +22,7 @@ CONFIG = EventConfig()
 
 def reports(spark, module, root, config=CONFIG):
     configure(spark, case_sensitive=True)
-    inputs = read_inputs(spark, module.FAMILY, Landing(root))
+    inputs = read_inputs(spark, module.FAMILY, Landing(root), look(spark, Landing(root), f"{root}/out"))
     clean = clean_table(module.FAMILY, inputs.raw, inputs.known, config)
     built = build_reports(module.FAMILY, clean, inputs.choices)
     return {"clean": clean} | {name: df for name, (_, df) in built.items()}
@@ -298,17 +299,25 @@ def test_manifest_says_where_rows_lie(spark, folder):
     assert {r["folder"] for r in shown.where("folder like '0%'").collect()} == {"007"}
 
 
-def test_change_of_catalogue_or_configuration_is_a_change(spark, camp_h_event):
-    configure(spark, case_sensitive=True)
-    inputs = read_inputs(spark, camp_h.FAMILY, Landing(camp_h_event))
-    more = inputs.questions.unionByName(inputs.questions.limit(1).withColumn("id", F.lit(999).cast("bigint")))
-
-    def state(given=inputs, config=CONFIG):
-        return state_of(given, camp_h.FAMILY, config)
-
-    assert state() == state(config=replace(CONFIG, interval_minutes=1)) and state()[0] == 6
-    assert state(replace(inputs, questions=more)) != state()
-    assert state(config=replace(CONFIG, report_format="csv")) != state()
+def test_change_of_catalogue_or_configuration_is_a_change(spark, camp_h_event, folder):
+    landing, out = Landing(camp_h_event), f"{folder}/out"
+
+    def state(config=CONFIG, family=camp_h.FAMILY):
+        return state_of(look(spark, landing, out), family, config)
+
+    first = state()
+    assert first == state(config=replace(CONFIG, interval_minutes=1))
+    assert state(config=replace(CONFIG, report_format="csv")) != first
+    assert state(family=replace(camp_h.FAMILY, place_question="Ort?")) != first
+    # A page is read when its file is new, and never again.
+    pages = known_pages(spark, out).count()
+    assert look(spark, landing, out).fresh == {}
+    questions = json.load(open(f"{camp_h_event}/questions/page-000001.json", encoding="utf-8"))
+    questions["results"][0]["question"]["de"] += "?"
+    write_json(f"{camp_h_event}/questions/page-000001.json", questions)
+    seen = look(spark, landing, out)
+    assert {c: len(p) for c, p in seen.fresh.items()} == {"questions": 1} and seen.parsed is None and seen.rows == 6
+    assert state() != first and known_pages(spark, out).count() == pages + 1
 
 
 def test_csv_reports(spark, camp_h_event, folder):

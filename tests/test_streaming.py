@@ -1,4 +1,6 @@
+import os
 import shutil
+import time
 from dataclasses import replace
 
 from rollcall.operators.collapsing import latest_per_key
@@ -27,13 +29,12 @@ def test_polling_runs_on_landed_snapshots(spark, folder):
 
     land(f"{landing}/2025-01-01", ["a", "b", "c"])
     assert run() == ["success"]
-    # Nothing landed: no run at all.
-    assert run() == ["success"]
-    # The same rows again: a run record, no reports.
-    land(f"{landing}/2025-01-02", ["c", "b", "a"][::-1])
+    # Nothing landed, or the same rows again: a run record, no reports.
     assert run() == ["success", "unchanged"]
+    land(f"{landing}/2025-01-02", ["c", "b", "a"][::-1])
+    assert run() == ["success", "unchanged", "unchanged"]
     land(f"{landing}/2025-01-03", ["a", "b", "c", "d", "e"])
-    assert run() == ["success", "unchanged", "success"]
+    assert run() == ["success", "unchanged", "unchanged", "success"]
     counts = current_report(spark, out, "Anmeldezahlen").orderBy("Nr").collect()
     assert [(r["Ortschaft"], r["Gesamt"]) for r in counts][:3] == [("GESAMT", 5), ("Aalen", 0), ("Bonn", 5)]
 
@@ -110,8 +111,35 @@ def test_history_takes_each_file_once(spark, folder):
     assert latest_per_key(first, ["k"], ["at"]).count() == 2
 
 
+def test_failed_run_is_tried_again_at_the_next_tick(spark, folder):
+    """At intervals too: no file has landed since, and every tick leaves a record."""
+    landing, out = f"{folder}/landing", f"{folder}/out"
+    os.makedirs(landing)
+
+    def statuses():
+        return [r["status"] for r in runs(spark, out).orderBy("run_ts").collect()]
+
+    def run(family, checkpoint, records):
+        query = poll(spark, family, landing, out, f"{folder}/{checkpoint}", replace(ONCE, run_once=False, interval_minutes=0.02))
+        until = time.time() + 120
+        while len(statuses()) < records and query.exception() is None and time.time() < until:
+            time.sleep(0.2)
+        query.stop()
+        return statuses()
+
+    wrong = replace(day_j.FAMILY, place_question="no such question")
+    assert set(run(wrong, "first", 2)) == {"failed"}
+    assert "nothing has landed" in spark.read.parquet(f"{out}/_run_errors").first()["error"]
+    land(f"{landing}/s1", ["a", "b", "c"])
+    before = len(statuses())
+    failed = run(wrong, "first", before + 2)
+    assert set(failed) == {"failed"} and len(failed) >= before + 2
+    good = run(day_j.FAMILY, "first", len(failed) + 3)[len(failed):]
+    assert good[0] == "success" and set(good[1:]) == {"unchanged"}
+
+
 def test_triggers():
     from rollcall.streaming.polling import _trigger
 
     assert _trigger(ONCE) == {"availableNow": True}
-    assert _trigger(replace(ONCE, run_once=False, interval_minutes=5)) == {"processingTime": "5 minutes"}
+    assert _trigger(replace(ONCE, run_once=False, interval_minutes=5)) == {"processingTime": "300 seconds"}

@@ -83,7 +83,7 @@ def map_answers_joined(spark, sf):
 FLAT_SQL = f"""
 select p.*, case k when 1 then 'Own ' || cast(o_custkey as varchar)
   else coalesce(c_name, 'Item ' || cast(item_id as varchar)) end as item_name,
-  row_number() over (order by page_no, position_pos) - 1 as "Nr"
+  row_number() over (order by page_no, order_pos, position_pos) - 1 as "Nr"
 from ({NAMED_SQL}) p left join customer on c_custkey = item_id
 """
 
@@ -93,14 +93,14 @@ def flat(spark, sf):
 
 
 @query(f"""
-select page_no, position_pos, "Nr", order_code, status, email, total, date, invoice_name, invoice_city, position_id, item_id,
+select page_no, order_pos, position_pos, "Nr", order_code, status, email, total, date, invoice_name, invoice_city, position_id, item_id,
   item_name, price, attendee_firstname, attendee_lastname, q1, q2, q77 from ({FLAT_SQL})
 """)
 def flat_positions(spark, sf):
     """The whole ingestion: unnest, look up, check pages, number from 0."""
     raw = number_tickets(flat(spark, sf))
     return _asked(raw, documents.questions(spark, sf)).select(
-        "page_no", "position_pos", "Nr", "order_code", "status", "email", "total", "date", "invoice_name",
+        "page_no", "order_pos", "position_pos", "Nr", "order_code", "status", "email", "total", "date", "invoice_name",
         "invoice_city", "position_id", "item_id", "item_name", "price", "attendee_firstname",
         "attendee_lastname", "q1", "q2", "q77",
     )

@@ -14,6 +14,7 @@ from rollcall.plans.spec import Ranked, ReportSpec, Where, run_spec, with_folder
 from rollcall.session import scratch_path
 from rollcall.sinks import reports, runs
 from rollcall.streaming.polling import keep_history, latest_records
+from rollcall.streaming.state import current_records, keep_state
 
 
 @query("select o_custkey as o_orderkey, o_orderkey as o_custkey, o_orderstatus as status from orders")
@@ -256,6 +257,26 @@ def incremental_batch(spark, sf):
     return latest_records(spark, history, ["o_orderkey"], ["snapshot"])
 
 
+@query("""
+select event_id, ts, user_id, event_type, value, props from (select *, row_number() over
+  (partition by user_id, event_type order by ts desc, event_id desc) as rn from events) where rn = 1
+""")
+def latest_state(spark, sf):
+    """The newest record per user and type, kept as a state through four landings.
+
+    Records are landed by the hour of the day they are of, so that each landing holds new
+    keys, updates, and records older than what the state holds by then.
+    """
+    landing, state, checkpoint = (scratch_path(spark, n) for n in ("landing", "state", "stream"))
+    events = table(spark, sf, "events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{landing}/*")
+    quarter = F.hour("ts") % 4
+    for part in (2, 0, 3, 1):
+        events.where(quarter == part).write.parquet(f"{landing}/part-{part}")
+        keep_state(stream, state, checkpoint, ["user_id", "event_type"], ["ts", "event_id"], buckets=16).awaitTermination()
+    return current_records(spark, state)
+
+
 _WIDTHS = {"doc_id": "cast(doc_id as varchar)", "text": "text", "lang": "lang", "source": "source"}
 
 

@@ -1,14 +1,19 @@
+import glob
 import os
 import shutil
 import time
 from dataclasses import replace
 
+import pytest
+from pyspark.sql import functions as F
+
 from rollcall.operators.collapsing import latest_per_key
 from rollcall.plans import day_j
 from rollcall.plans.event import Landing, current_report, run_event
 from rollcall.plans.spec import EventConfig
 from rollcall.sinks.runs import runs
 from rollcall.streaming.polling import keep_history, latest_records, poll
+from rollcall.streaming.state import apply_changes, current_records, vacuum, versions
 from tests.landing import DEFAULT_CHOICES, event_of, order
 
 ONCE = EventConfig(run_once=True)
@@ -138,6 +143,37 @@ def test_failed_run_is_tried_again_at_the_next_tick(spark, folder):
     assert good[0] == "success" and set(good[1:]) == {"unchanged"}
 
 
+def test_state_of_records(spark, folder):
+    """Only touched buckets are rewritten; late older records and repeated batches change nothing."""
+    table, schema = f"{folder}/state", "k int, g string, at int, v string"
+    put = lambda version, *changes: apply_changes(table, spark.createDataFrame(changes, schema), ["k", "g"], ["at"], version, buckets=50)
+    held = lambda: {(r.k, r.g): (r.at, r.v) for r in current_records(spark, table, schema).collect()}
+    assert held() == {}
+    with pytest.raises(ValueError):
+        current_records(spark, table)
+    first = [(i, "a", 5, f"first {i}") for i in range(200)] + [(None, None, 5, "no key"), (7, "a", 4, "older"), (8, "a", 6, "newer")]
+    assert put(0, *first) > 40
+    expected = {(i, "a"): (5, f"first {i}") for i in range(200)} | {(None, None): (5, "no key"), (8, "a"): (6, "newer")}
+    assert held() == expected
+    # An update, a late older record, a new key: three buckets at most, the other files stay.
+    files = {f: os.path.getmtime(f) for f in glob.glob(f"{table}/version=0/*/*.parquet")}
+    change = [(3, "a", 9, "update"), (4, "a", 1, "late"), (500, "new", 1, "new"), (None, None, 6, None)]
+    assert put(1, *change) <= 4
+    expected |= {(3, "a"): (9, "update"), (500, "new"): (1, "new"), (None, None): (6, None)}
+    assert held() == expected
+    rewritten = versions(spark, table).where("version = 1").agg(F.sum("rows")).first()[0]
+    assert rewritten < 40 and all(os.path.getmtime(f) == t for f, t in files.items())
+    # The same batch again, as after a failure, and one without records.
+    assert put(1, *change) <= 4 and held() == expected
+    assert put(2) == 0 and held() == expected
+    # A version whose files were written but never recorded does not count.
+    shutil.copytree(f"{table}/version=1", f"{table}/version=9")
+    assert held() == expected
+    assert vacuum(spark, table) >= 1 and held() == expected
+    with pytest.raises(ValueError):
+        apply_changes(table, spark.createDataFrame(change, schema), ["k", "g"], ["at"], 3, buckets=51)
+
+
 def test_triggers():
     from rollcall.streaming.polling import _trigger
 

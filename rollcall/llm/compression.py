@@ -5,9 +5,11 @@ at all (hardly). Both limits depend on the length, since a short text has little
 repeat and pays for the frame. Whole documents and fixed chunks are measured, so that a
 long clean text cannot hide a repetitive half, nor the other way round.
 
-The limits come from the corpus: quartiles of the ratio among distinct texts of like length
-that pass the base rule, widened by a multiple of the distance between them. Lengths that
-too few texts have are judged by wide fixed bands.
+The limits come from the corpus: the shortest interval that holds half of the ratios among
+distinct texts of like length that pass the base rule, widened by a multiple of its width.
+Unlike quartiles it stays where the clean texts are until the others are half. Where few
+texts have a length, texts of neighbouring lengths count too; and wide fixed bands are
+mixed in everywhere, with a weight that decides where there is next to nothing else.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from rollcall.llm.words import (
     Words, buffers, covered, lines_of, repeats_in_groups, rolling, small, span_hashes, sums, windows, words_of,
 )
 
-#: From so many bytes on, the least and the largest share that compression may leave, where
-#: the corpus has too few texts to tell.
+#: From so many bytes on, the least and the largest share that compression may leave, as far
+#: as is known without a corpus.
 BANDS = (
     (0, 0.0, 99.0),
     (256, 0.30, 0.95),
@@ -54,14 +56,14 @@ class Rules:
     #: Length classes for each doubling of the length; shorter texts are not judged by ratio.
     classes: int = 4
     shortest: int = 256
-    #: Limits lie so many quartile distances below the lower and above the upper quartile of
-    #: a class, or ``margin`` if that is more.
+    #: Limits lie so many widths of the shortest half below and above it, or ``margin`` if that is more.
     below: float = 1.5
     above: float = 2.0
     margin: float = 0.02
-    #: Distinct texts a class needs, with up to ``near`` neighbours on either side.
+    #: Neighbouring classes are added on either side until a class has so many distinct texts.
     least: int = 100
-    near: int = 2
+    #: With so many texts the fixed bands weigh as much as the corpus, with ``k`` times as many ``1 / k**2`` of it.
+    prior: int = 10
     #: Share of a text's bytes that may lie in chunks outside their band.
     bad_share: float = 0.3
     level: int = 3
@@ -180,28 +182,54 @@ def _measured(docs: DataFrame, rules: Rules) -> DataFrame:
     return found.groupBy("whole", "class", "ratio").agg(F.count("*").alias("n"))
 
 
+def shortest_half(values: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """The shortest interval with at least half of the weight; the middle one of several."""
+    order = np.argsort(values, kind="stable")
+    values, total = values[order], np.cumsum(weights[order])
+    before = total - weights[order]
+    end = np.searchsorted(total, before + total[-1] / 2 - 1e-9)
+    inside = np.flatnonzero(end < len(values))
+    width = values[end[inside]] - values[inside]
+    best = inside[np.flatnonzero(width <= width.min() + 1e-9)]
+    at = best[len(best) // 2]
+    return float(values[at]), float(values[end[at]])
+
+
+def _middle(size: int, bands: Sequence[tuple[int, float, float]]) -> float:
+    """Middle of the fixed bands at a length, straight between those of the bands' own middle lengths."""
+    starts = [max(b[0], 1) for b in bands]
+    at = [np.log2(a) + (np.log2(b) - np.log2(a)) / 2 for a, b in zip(starts, [*starts[1:], 2 * starts[-1]])]
+    inner = [(x, (low + high) / 2) for x, (_, low, high) in zip(at, bands) if high <= 1]
+    return float(np.interp(np.log2(max(size, 1)), [x for x, _ in inner], [y for _, y in inner])) if inner else 0.5
+
+
 def fences(counts: dict[int, dict[int, int]], rules: Rules) -> tuple[tuple[int, float, float], ...]:
-    """Bands for the classes, from the number of texts by class and ratio in thousandths."""
+    """Bands for the classes, from the number of texts by class and ratio in thousandths.
+
+    Ratios of a neighbouring class are moved by as much as the middles of the fixed bands differ,
+    which fall with the length as those of texts do.
+    """
     out = {start: (low, high) for start, low, high in rules.bands}
+    size_of = lambda kind: int(np.ceil(2 ** (kind / rules.classes)))
+    middle = {k: _middle(size_of(k), rules.bands) for k in counts}
     for kind in sorted(counts):
-        near: dict[int, int] = {}
-        for width in range(rules.near + 1):
-            near = {}
-            for k in range(kind - width, kind + width + 1):
-                for ratio, n in counts.get(k, {}).items():
-                    near[ratio] = near.get(ratio, 0) + n
-            if sum(near.values()) >= rules.least:
-                break
-        start = int(np.ceil(2 ** (kind / rules.classes)))
-        after = int(np.ceil(2 ** ((kind + 1) / rules.classes)))
+        width, near = 0, {kind}
+        while sum(sum(counts[k].values()) for k in near) < rules.least and len(near) < len(counts):
+            width += 1
+            near = {k for k in counts if abs(k - kind) <= width}
+        found = [(ratio / 1000 + middle[kind] - middle[k], n) for k in sorted(near) for ratio, n in sorted(counts[k].items())]
+        weights = np.array([n for _, n in found], dtype=float)
+        first, last = shortest_half(np.array([r for r, _ in found]), weights)
+        # The shortest half that widens to the fixed band; it weighs less, the more texts there are.
+        low, high = limits(size_of(kind), rules.bands)
+        width = (high - low) / (1 + rules.below + rules.above)
+        assumed = middle[kind] - (high - low) / 2 + rules.below * width
+        told = weights.sum() ** 2 / (weights.sum() ** 2 + rules.prior**2)
+        first = told * first + (1 - told) * assumed
+        last = told * last + (1 - told) * (assumed + width)
+        after = size_of(kind + 1)
         out.setdefault(after, limits(after, rules.bands))
-        if sum(near.values()) < rules.least:
-            out.setdefault(start, limits(start, rules.bands))
-            continue
-        ratios = np.array(sorted(near))
-        share = np.cumsum([near[r] for r in ratios]) / sum(near.values())
-        first, third = (ratios[np.searchsorted(share, q)] / 1000 for q in (0.25, 0.75))
-        out[start] = tuple(float(q + way * max(reach * (third - first), rules.margin)) for q, way, reach in ((first, -1, rules.below), (third, 1, rules.above)))
+        out[size_of(kind)] = (first - max(rules.below * (last - first), rules.margin), last + max(rules.above * (last - first), rules.margin))
     return tuple((start, *out[start]) for start in sorted(out))
 
 

@@ -28,10 +28,11 @@ from rollcall.llm.words import (
 class Settings:
     """Parameters of the fit."""
 
-    #: At most so many labelled documents are used, those whose ids hash lowest, and of each
-    #: at most so many lines.
+    #: At most so many labelled documents are used, those whose ids hash lowest. Their texts
+    #: are cut into runs of at most so many lines, and at most ``sample`` runs are used, chosen
+    #: by a hash from all parts of the texts; a text of fewer lines is one run.
     sample: int = 3000
-    sample_lines: int = 300
+    run_lines: int = 300
     steps: int = 120
     rate: float = 0.1
     penalty: float = 1e-3
@@ -204,17 +205,23 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
             x, _, doc = features(batch.column("text"))
+            x = x.astype(np.float32)
             begins = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-            rows = [x[a : min(b, a + settings.sample_lines)].astype(np.float32) for a, b in zip(begins[:-1], begins[1:])]
+            runs = [(i, lo, min(lo + settings.run_lines, b)) for i, (a, b) in enumerate(zip(begins[:-1], begins[1:])) for lo in range(a, b, settings.run_lines)]
+            of = pa.array([i for i, _, _ in runs], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array([len(r) for r in rows], pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
-                names=["doc_id", "label", "n", "x"],
+                [
+                    batch.column("doc_id").take(of), batch.column("label").take(of), pa.array([lo - int(begins[i]) for i, lo, _ in runs], pa.int64()),
+                    pa.array([hi - lo for _, lo, hi in runs], pa.int32()), pa.array([x[lo:hi].tobytes() for _, lo, hi in runs], pa.binary()),
+                ],
+                names=["doc_id", "label", "line", "n", "x"],
             )
 
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found = joined.select(F.col("doc_id").cast("bigint"), "label", "text").mapInArrow(look, "doc_id bigint, label int, n int, x binary")
-    # As many rows as the sample has, as long as ids are unique; the limit keeps it so when they are not.
-    rows = sorted((r for r in found.limit(settings.sample).collect() if r.n), key=lambda r: (r.doc_id, r.label, bytes(r.x)))
+    found = joined.select(F.col("doc_id").cast("bigint"), "label", "text").mapInArrow(look, "doc_id bigint, label int, line bigint, n int, x binary")
+    # The same runs every time, also where ids repeat and where texts are very long.
+    chosen = found.orderBy(F.xxhash64("doc_id", "line"), "doc_id", "line", "label", "x").limit(settings.sample)
+    rows = sorted(chosen.collect(), key=lambda r: (r.doc_id, r.line, r.label, bytes(r.x)))
     x = np.frombuffer(b"".join(bytes(r.x) for r in rows), dtype=np.float32).reshape(-1, len(NAMES)).astype(np.float64)
     return fit(x, np.array([r.n for r in rows], dtype=np.int64), np.array([r.label for r in rows], dtype=np.int64), settings)
 

@@ -14,6 +14,7 @@ number of rows, and from there on keys are single blocks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -101,13 +102,22 @@ class Mixture:
     slots: DataFrame
 
 
-def mix(sizes: DataFrame, settings: Settings = Settings()) -> Mixture:
-    """The mixture of ``sizes (doc_id, source, size)``; further columns stay with their rows.
+def mix(sizes: DataFrame, settings: Settings = Settings(), ties: Sequence[str] = ()) -> Mixture:
+    """The mixture of ``sizes (doc_id, source, size)``.
 
-    Rows come back as they are, repeated ones too, with ``sid, part, at`` (their place),
-    ``source_size`` and ``target``. A null source is a source of its own, a null size none.
+    Each row comes back, repeated ones too, with ``sid, part, at`` (its place),
+    ``source_size`` and ``target``; further columns, whatever their names, in the struct
+    ``more``. ``ties`` names those of them that tell rows of equal id and size apart. A null
+    source is a source of its own, a null size none.
     """
-    sized = pin(sizes.withColumn("size", F.coalesce("size", F.lit(0)).cast("bigint")), "sizes")
+    more = [F.col(c) for c in sizes.columns if c not in ("doc_id", "source", "size")]
+    sized = pin(
+        sizes.select(
+            "doc_id", "source", F.coalesce("size", F.lit(0)).cast("bigint").alias("size"),
+            (F.struct(*more) if more else F.lit(None).cast("string")).alias("more"),
+        ),
+        "sizes",
+    )
     width = settings.block_words
     sources = pin(source_targets(sized, settings), "sources")
     parts = F.ceil(F.col("rows") / settings.rows_per_part)
@@ -116,7 +126,7 @@ def mix(sizes: DataFrame, settings: Settings = Settings()) -> Mixture:
         sized.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name")
         .withColumn("part", F.pmod(F.xxhash64(F.lit(settings.seed), "doc_id", "size"), parts))
     )
-    in_order = W.partitionBy("sid", "part").orderBy("doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    in_order = W.partitionBy("sid", "part").orderBy("doc_id", "size", *[F.col("more")[t] for t in ties]).rowsBetween(W.unboundedPreceding, -1)
     rows = pin(placed.withColumn("at", F.coalesce(F.sum("size").over(in_order), F.lit(0))).drop("rows"), "rows")
 
     cut = rows.groupBy("sid", "part").agg(F.sum("size").alias("words"))
@@ -178,19 +188,22 @@ def mixed_texts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     Repeated rows are documents of their own.
     """
     keyed = docs.withColumn("__key", F.xxhash64("doc_id", "source", "text"))
-    mixture = mix(keyed.select("doc_id", "source", words_in(F.col("text")).alias("size"), "__key"), settings)
+    mixture = mix(keyed.select("doc_id", "source", words_in(F.col("text")).alias("size"), "__key"), settings, ties=["__key"])
     place = ["sid", "part", "at"]
     spans = drawn(mixture).groupBy(*place, "turn").agg(
         F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("__spans"), F.sum(F.col("hi") - F.col("lo")).alias("__words")
     )
-    own = mixture.rows.where("size > 0").select(*place, F.col("__key").alias("__own"), F.col("size").alias("__size"))
-    spans = own.join(spans, place).select("__own", "__size", "__spans", "__words")
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    own = mixture.rows.where("size > 0").select(*place, F.col("more")["__key"].alias("__own"), F.col("size").alias("__size"))
+    # The turns of a text together, so that its words are found once; rows of equal texts take turns of their own.
+    turns = own.join(spans, place).groupBy("__own", "__size").agg(F.collect_list(F.struct("__spans", "__words")).alias("__turns"))
+    whole = F.forall("__turns", lambda t: t["__words"] == F.col("__size"))
+    words = F.when(~whole, F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
     taken = F.flatten(
-        F.transform("__spans", lambda s: F.slice(words, (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))
+        F.transform("__turn.__spans", lambda s: F.slice("__all", (s["lo"] + 1).cast("int"), (s["hi"] - s["lo"]).cast("int")))
     )
-    text = F.when(F.col("__words") == F.col("__size"), F.col("text")).otherwise(F.array_join(taken, " "))
-    out = keyed.dropDuplicates(["__key"]).join(spans, F.col("__key") == F.col("__own")).withColumn("text", text)
+    text = F.when(F.col("__turn.__words") == F.col("__size"), F.col("text")).otherwise(F.array_join(taken, " "))
+    found = keyed.dropDuplicates(["__key"]).join(turns, F.col("__key") == F.col("__own")).withColumn("__all", words)
+    out = found.withColumn("__turn", F.explode("__turns")).withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -73,8 +73,8 @@ def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     Needs ``doc_id`` and ``text``; other columns are not read. The law is ``bytes``: sizes
     of shards are near equal, as far as single rows allow. A null text has the size, the
     checksum and the group of an empty one. Slots of a shard count from 0 without gaps;
-    repeated rows get slots of their own. Rows without an id come first in their run. An empty
-    table gives no rows.
+    repeated rows get slots of their own, and are spread like others where many share an id or
+    have none. Rows without an id come first in their run. An empty table gives no rows.
     """
     spark, shards = docs.sparkSession, settings.shards
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -82,6 +82,8 @@ def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         docs.select(
             "doc_id", (F.octet_length(text) + settings.row_bytes).cast("bigint").alias("bytes"), words_in(text).alias("tokens"),
             F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("text_hash"),
+            # Tells rows apart that share an id or have none; fixed once it is written.
+            F.monotonically_increasing_id().alias("place"),
         ),
         "sizes",
     )
@@ -93,9 +95,9 @@ def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     single = rows.groupBy("text_hash").agg(*_sums()).where(share > settings.single)
     pieces = F.when(share > settings.cut, F.ceil(share / settings.piece)).otherwise(F.lit(1).cast("bigint"))
     single = single.select("text_hash", pieces.alias("pieces"))
-    salt = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("pieces"))
+    salt = F.pmod(F.xxhash64("place", F.lit(1)), F.col("pieces"))
     united = rows.join(F.broadcast(pin(single, "single")), "text_hash", "left").select(
-        "doc_id", "bytes", "tokens", "text_crc32",
+        "doc_id", "bytes", "tokens", "text_crc32", "place",
         F.when(F.col("pieces").isNull(), F.pmod("text_hash", F.lit(settings.bundles))).otherwise(F.col("text_hash")).alias("unit"),
         F.when(F.col("pieces").isNull(), F.lit(-1).cast("bigint")).otherwise(salt).alias("piece"),
     )
@@ -111,7 +113,7 @@ def pack(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     places = spark.createDataFrame(placed, "unit bigint, piece bigint, shard int, base bigint, runs bigint")
 
     with_run = united.join(F.broadcast(places), ["unit", "piece"]).withColumn(
-        "run", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("runs"))
+        "run", F.pmod(F.xxhash64("place", F.lit(2)), F.col("runs"))
     )
     runs = with_run.groupBy("unit", "piece", "run").agg(F.count("*").alias("n"))
     before = F.sum("n").over(W.partitionBy("unit", "piece").orderBy("run").rowsBetween(W.unboundedPreceding, -1))

@@ -41,10 +41,13 @@ _LAST = (1 << 63) - 1
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Texts with a key of their own: id and checksum, or without an id a hash of the text."""
+    """Texts with a key of their own: a hash of id and text, and a checksum of the text.
+
+    Together 80 bits, so that verdicts never meet another text that shares the id.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
-        F.coalesce(F.col("doc_id"), F.xxhash64(text)).alias("rid"),
+        F.xxhash64(text, "doc_id").alias("rid"),
         F.crc32(text).bitwiseAND(0xFFFF).alias("checksum"),
         F.coalesce(F.col("doc_id"), F.lit(_LAST)).alias("ord"),
         "doc_id",
@@ -241,7 +244,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, with_text: bool = True) ->
     they come. Needs ``doc_id`` and ``text``; other columns are not read. A null text has
     no words, a text shorter than a window loses none. Texts without an id come after all
     others, and none of them counts as earlier for another; the same holds for rows that
-    share an id. Repeated rows get equal results.
+    share an id, whose texts may differ. Repeated rows get equal results.
 
     Texts are shuffled once, to meet their verdicts.
     """

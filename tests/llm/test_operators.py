@@ -560,3 +560,72 @@ def test_urls_equal_sql(spark):
 
     verdict, _ = compare(spark, connect(SF), "op8_url_cascade", SF)
     assert verdict.startswith("ok"), verdict
+
+
+def test_bands_are_one_rule_at_any_size(spark):
+    """The same junk is judged alike beside few and many clean texts; a corpus of none is judged too."""
+    sf, rnd = "/root/testdata/sf0.01", random.Random(8)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    docs = [r for r in rows_of(spark.read.parquet(f"{sf}/documents.parquet")) if labels.get(r[0]) == 1 and 120 <= len(words(r[1])) <= 600]
+    word = lambda: "".join(rnd.choice("0123456789abcdef") for _ in range(rnd.randint(2, 10)))
+    junk = [(10**6 + i, " ".join(word() for _ in range(400))) for i in range(30)]
+    for n, k in ((30, 8), (60, 8), (60, 30), (95, 30), (105, 30), (200, 30)):
+        got = compression.quality(spark.createDataFrame(sorted(docs)[:n] + junk[:k], "doc_id bigint, text string")).collect()
+        assert sum(r.kept for r in got if r.doc_id >= 10**6) <= 0.15 * k, (n, k)
+        assert sum(r.kept for r in got if r.doc_id < 10**6) >= 0.95 * n
+
+
+def test_shortest_half():
+    half = lambda values, weights=None: compression.shortest_half(np.array(values, float), np.ones(len(values)) if weights is None else np.array(weights, float))
+    assert half([5, 1, 1.1, 1.2, 9]) == (1, 1.2) and half([4]) == (4, 4)
+    assert half([1, 2, 3], [1, 5, 1]) == (2, 2)
+
+
+def test_repeats_of_texts_that_share_an_id(spark):
+    """Texts of one id with equal checksums of 16 bits get verdicts of their own."""
+    rnd = random.Random(3)
+    own = lambda n: " ".join(str(rnd.random()) for _ in range(n))
+    shared, seen, pair = own(30), {}, None
+    while pair is None:
+        text = own(41)
+        for other in (text, shared + " " + text):
+            key = zlib.crc32(other.encode()) & 0xFFFF
+            if key in seen and (shared in other) != (shared in seen[key]):
+                pair = (seen[key], other)
+            seen.setdefault(key, other)
+    rows = [(1, shared), (5, pair[0]), (5, pair[1])]
+    got = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.n_words, r.n_removed) for r in got) == [(30, 0), (41, 0), (71, 30)]
+
+
+def test_packing_of_rows_that_share_an_id_or_have_none(spark):
+    for key in (None, 7):
+        frame = spark.createDataFrame([(key, "the same text in all of them")] * 3000, "doc_id bigint, text string")
+        got = packing.pack(frame).collect()
+        shards = collections.Counter(r.shard for r in got)
+        assert len(shards) == 40 and max(shards.values()) - min(shards.values()) < 30
+        assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in shards.items())
+
+
+def test_mixture_keeps_odd_columns_apart_and_row_order_does_not_matter(spark):
+    names = ["name", "target", "rows", "part", "sid", "at", "weight", "more", "source_size", "words", "blocks"]
+    texts = [(i % 3, "a" if i % 2 else None, f"w{i} x y") for i in range(60)] + [(1, "a", "same words")] * 3
+    frame = spark.createDataFrame(texts, "doc_id bigint, source string, text string").select("*", *[F.lit(n).alias(n) for n in names])
+    rows = mixing.mix(frame.withColumn("size", mixing.words_in(F.col("text"))))
+    assert rows.rows.count() == 63 and rows.rows.select("more.name", "more.sid").distinct().collect() == [("name", "sid")]
+    first = sorted(map(tuple, mixing.mixed_texts(frame).collect()), key=str)
+    assert mixing.mixed_texts(frame).columns == frame.columns and first
+    for seed in (1, 2):
+        assert sorted(map(tuple, mixing.mixed_texts(frame.orderBy(F.rand(seed)).repartition(3)).collect()), key=str) == first
+
+
+def test_field_learns_from_all_parts_of_long_texts(spark):
+    """Runs come from whole texts, and the same ones however rows lie and ids repeat."""
+    docs = [(i, "\n".join(f"This is a clean line number {j} of it." for j in range(700)) if i % 2 else "\n".join("### || !! 99 ##" for _ in range(700))) for i in range(12)]
+    docs += [(2, "### || ##\n" * 5)] * 3
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)] + [(2, 0), (2, 1), (None, 1), (3, 5)], "doc_id bigint, quality int")
+    settings = line_field.Settings(sample=9, run_lines=100, steps=20)
+    first = line_field.train(frame, labels, settings)
+    again = line_field.train(frame.orderBy(F.rand(1)).repartition(4), labels.orderBy(F.rand(2)), settings)
+    assert np.array_equal(first.weights, again.weights) and np.array_equal(first.pairs, again.pairs)

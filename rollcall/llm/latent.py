@@ -1,15 +1,15 @@
 """Benchmark items found in documents by latent semantic retrieval.
 
-Passages are runs of words that end where a sentence ends, so that the same sentence makes
-the same passage wherever it stands. TF-IDF vectors of passages are projected on the leading
-singular directions of a randomised SVD, and passages close to one of a benchmark item are
-candidates. What the projection only finds alike is then compared word by word: by longest
-common subsequence, and by whether the answer of the item is there.
-
-Passages leave words out, and an item shorter than one has none of its own. So every word of
-a document is also looked up among the rarest words of the items. A leak holds ``partial`` of
-an item's words at least; of any set of its words larger than what it may lack some must be
-there. Places that hold so many close together are candidates too, and none else can be leaks.
+TF-IDF vectors of passages are projected on the leading singular directions of a randomised
+SVD. Passages of a document overlap, one begins every few words, and each item is laid out
+in passages one after the other, so that a copy meets them but for a word wherever it stands,
+with sentence ends or without. Passages close to one of an item are candidates. What the projection only
+finds alike is then compared word by word: by longest common subsequence, and by whether the
+answer of the item is there.
+
+A passage of a document that shares too few words with all items together is not projected:
+the comparison word by word would turn it down anyway. Items shorter than a passage have no
+vector that tells them apart; only for them every word is looked up among their rarest ones.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,9 @@ class Settings:
 
     #: Words are hashed into so many terms.
     terms: int = 8192
-    #: Words of a passage; a text without sentence ends gets one every ``longest`` words.
+    #: Words of a passage.
     words: int = 12
+    #: The directions are fitted on passages that end a sentence, or after so many words.
     longest: int = 24
     rank: int = 64
     oversample: int = 8
@@ -42,10 +44,14 @@ class Settings:
     #: document frequencies count every passage, and every passage is searched.
     fit_bytes: int = 16 << 20
     #: Least cosine of a candidate, and words its passage shares in order with the item's.
-    cosine: float = 0.87
+    cosine: float = 0.75
     shared: int = 7
-    #: Rare words looked up beyond those a leak may lack; so many must be found.
+    #: Rare words of a short item looked up beyond those a leak may lack; so many must be found.
     rare: int = 4
+    #: A passage of a document begins at every ``step``-th word; one that is a word off is still close.
+    step: int = 3
+    #: Words of documents projected at a time.
+    slab: int = 4096
     #: Words looked up at a time, times the items that have them.
     places: int = 1 << 21
     #: Share of an item's words that a document holds in order: enough alone, or with the answer.
@@ -212,7 +218,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Index:
 
 @dataclass(frozen=True)
 class Rare:
-    """Rare words of the items: ``item`` and ``at`` from ``first[k]`` to ``first[k + 1]`` are the places of ``keys[k]``."""
+    """Rare words of the short items: ``item`` and ``at`` from ``first[k]`` to ``first[k + 1]`` are the places of ``keys[k]``."""
 
     keys: np.ndarray
     first: np.ndarray
@@ -230,9 +236,9 @@ def _slack(length: int) -> int:
     return 8 + length // 4
 
 
-def _lookup_slack(length: int, settings: Settings) -> int:
-    """The same for places of rare words; few words of a short item would be in order in any longer run."""
-    return _slack(length) if length >= settings.words else length // 4
+def _short_slack(length: int) -> int:
+    """The same for short items, few words of which would be in order in any longer run."""
+    return length // 4
 
 
 def _rare(lists: list[np.ndarray], index: Index) -> Rare:
@@ -242,7 +248,9 @@ def _rare(lists: list[np.ndarray], index: Index) -> Rare:
         n = len(own)
         needed = next((c for c in range(1, n + 1) if c / n >= min(settings.partial, settings.whole)), n)
         least.append(min(settings.rare, needed))
-        within.append(n + 2 * _lookup_slack(n, settings))
+        within.append(n + 2 * _short_slack(n))
+        if n >= settings.words:
+            continue
         rarest = np.argsort(-index.idf[own % np.uint64(settings.terms)], kind="stable")[: n - needed + least[-1]]
         # All places of a word at once, so that each is an anchor.
         places = np.flatnonzero(np.isin(own, own[rarest]))
@@ -265,33 +273,43 @@ class Items:
     ids: list
     words: list[np.ndarray]
     answers: list[int]
+    #: Per passage its item, its first word in the item, its words, a bit for each, and its vector.
     item: np.ndarray
-    at: np.ndarray
+    start: np.ndarray
     rows: np.ndarray
     bits: np.ndarray
     vectors: np.ndarray
+    #: Whether a word whose hash has these upper bits can be in a passage.
+    maybe: np.ndarray
     rare: Rare
 
 
 def _items(rows: list, index: Index) -> Items:
-    """Passages of an item lie inside it; an item shorter than a passage is one."""
+    """An item's passages follow one another; the last one ends with the item."""
     settings = index.settings
-    column = pa.array([r.text for r in rows], pa.string())
-    words, hashes, stops = _normal(column)
-    at, doc = _passages(words, stops, settings)
-    within = at - words.first[doc] + 1
-    keep = (within >= settings.words) | (at == words.first[doc + 1] - 1)
-    at, doc = at[keep], doc[keep]
-    terms = (hashes % np.uint64(settings.terms)).astype(np.int32)
-    lists, answers = [], []
-    for i, (lo, hi) in enumerate(zip(words.first[:-1], words.first[1:])):
+    words, hashes, stops = _normal(pa.array([r.text for r in rows], pa.string()))
+    terms, narrow = (hashes % np.uint64(settings.terms)).astype(np.int32), _narrow(hashes)
+    lists, answers, item, begins = [], [], [], []
+    for i, (lo, hi) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
         own = hashes[lo:hi]
         ends = np.flatnonzero(stops[lo:hi][:-1])
         lists.append(own)
         answers.append(int(ends[-1]) + 1 if len(ends) else 0)
-    wide = _rows(at, doc, words, _narrow(hashes), settings.words, 0)
-    vectors = _unit(_embedded(_rows(at, doc, words, terms, settings.words, settings.terms), index.projection))
-    return Items([r.item_id for r in rows], lists, answers, doc, at - words.first[doc] + 1, wide, _bits(wide), vectors, _rare(lists, index))
+        if len(own) >= settings.words:
+            last = len(own) - settings.words
+            for start in [*range(0, last, settings.words), last]:
+                item.append(i)
+                begins.append(lo + start)
+    at = np.array(begins, dtype=np.int64)[:, None] + np.arange(settings.words)
+    item = np.array(item, dtype=np.int64)
+    wide = narrow[at] if len(at) else np.empty((0, settings.words), np.int32)
+    chosen = terms[at] if len(at) else np.empty((0, settings.words), np.int32)
+    maybe = np.zeros(1 << 20, dtype=bool)
+    maybe[hashes[at.ravel()] >> np.uint64(44)] = True
+    return Items(
+        [r.item_id for r in rows], lists, answers, item, at[:, 0] - words.first[item] if len(at) else item, wide, _bits(wide),
+        _unit(_embedded(chosen, index.projection)), maybe, _rare(lists, index),
+    )
 
 
 def _narrow(hashes: np.ndarray) -> np.ndarray:
@@ -372,55 +390,105 @@ def _anchors(hashes: np.ndarray, words: Words, rare: Rare, settings: Settings) -
         yield from map(tuple, np.unique(found, axis=0).tolist())
 
 
-def _closest(words: Words, hashes: np.ndarray, d: int, lo: int, hi: int, item: int, index: Index, items: Items) -> float:
-    """Greatest cosine of a passage of the item with any run of words in a region."""
-    settings = index.settings
-    at = np.arange(min(lo + settings.words, hi) - 1, hi)
-    terms = (hashes % np.uint64(settings.terms)).astype(np.int32)
-    vectors = _unit(_embedded(_rows(at, np.full(len(at), d), words, terms, settings.words, settings.terms), index.projection))
-    return float((vectors @ items.vectors[items.item == item].T).max(initial=-1.0))
+def _runs(values: np.ndarray, length: int, add: np.ufunc) -> np.ndarray:
+    """``add`` over each run of ``length`` values, by runs of powers of two."""
+    out, done, power, size = None, 0, values, 1
+    while True:
+        if length & size:
+            part = power[done : len(values) - length + 1 + done]
+            out = part if out is None else add(out, part)
+            done += size
+        if done == length:
+            return out
+        power, size = add(power[:-size], power[size:]), 2 * size
 
 
-def _found(batch: pa.RecordBatch, index: Index, items: Items) -> dict[tuple[int, int], tuple[float, bool, float]]:
-    """Share, answer and cosine of each leak, by row of the batch and item."""
-    settings = index.settings
-    words, hashes, at, doc, terms = _terms_of(batch.column("text"), settings)
-    narrow = _narrow(hashes)
-    best: dict[tuple[int, int], tuple[float, bool, float]] = {}
-    known: dict[tuple[int, int, int], tuple[float, bool, bool]] = {}
+@dataclass(frozen=True)
+class _Near:
+    """Passages of a batch close to one of an item: first word, document, passage of the item, cosine."""
 
-    def region(item: int, d: int, start: int, slack: int) -> tuple[int, int]:
-        return max(int(words.first[d]), start - slack), min(int(words.first[d + 1]), start + len(items.words[item]) + slack)
+    at: np.ndarray
+    doc: np.ndarray
+    passage: np.ndarray
+    cosine: np.ndarray
 
-    def checked(item: int, d: int, start: int, slack: int) -> tuple[float, bool, bool]:
-        place = (item, *region(item, d, start, slack))
-        if place not in known:
-            known[place] = _checked(items.words[item], items.answers[item], hashes[place[1] : place[2]], settings)
-        return known[place]
 
+def _near(words: Words, hashes: np.ndarray, index: Index, items: Items) -> Iterator[_Near]:
+    """Candidates whose words are in order as in the item's passage, ``shared`` of them at least."""
+    settings, length = index.settings, index.settings.words
+    if not len(items.item):
+        return
+    shared = np.full(len(items.item), settings.shared)
     # As many of 64 bits are common as words must be, less those that the item's passage says twice.
-    shared = np.minimum(settings.shared, items.at)
-    bits = shared - (np.minimum(settings.words, items.at) - np.bitwise_count(items.bits).astype(np.int64))
-    for lo in range(0, len(at) if len(items.at) else 0, 4096):
-        part = slice(lo, lo + 4096)
-        cosine = _unit(_embedded(terms[part], index.projection)) @ items.vectors.T
-        p, q = np.divmod(np.flatnonzero(cosine >= settings.cosine), len(items.at))
-        rows = _rows(at[part], doc[part], words, narrow, settings.words, 0)
-        alike = np.bitwise_count(_bits(rows)[p] & items.bits[q]) >= bits[q]
+    bits = shared - (length - np.bitwise_count(items.bits).astype(np.int64))
+    terms, narrow = (hashes % np.uint64(settings.terms)).astype(np.int32), _narrow(hashes)
+    known = items.maybe[hashes >> np.uint64(44)]
+
+    def chosen(rows: np.ndarray, vectors: np.ndarray, own: np.ndarray, at: np.ndarray, doc: np.ndarray) -> Iterator[_Near]:
+        cosine = _unit(vectors) @ items.vectors.T
+        p, q = np.divmod(np.flatnonzero(cosine >= settings.cosine), len(items.item))
+        alike = np.bitwise_count(own[p] & items.bits[q]) >= bits[q]
         p, q = p[alike], q[alike]
-        close = _common(rows[p], items.rows[q]) >= shared[q]
-        for i, j in zip((p[close] + lo).tolist(), q[close].tolist()):
-            item, d = int(items.item[j]), int(doc[i])
-            share, there, leak = checked(item, d, int(at[i] + 1 - items.at[j]), _slack(len(items.words[item])))
+        if len(p):
+            close = _common(rows[p], items.rows[q]) >= shared[q]
+            p, q = p[close], q[close]
+            yield _Near(at[p], doc[p], q, cosine[p, q])
+
+    counts = np.concatenate([[0], np.cumsum(known)])
+    starts = np.arange(max(len(hashes) - length + 1, 0))
+    of = np.repeat(np.arange(len(words.counts)), words.counts)
+    full = np.zeros(len(starts), dtype=bool)
+    if len(starts):
+        doc = of[starts]
+        end = words.first[doc + 1] - starts - length
+        placed = (end == 0) | ((end > 0) & ((starts - words.first[doc]) % settings.step == 0))
+        full = placed & (counts[starts + length] - counts[starts] >= settings.shared)
+    marks = np.left_shift(np.uint64(1), (narrow >> 1 & 63).astype(np.uint64))
+    for lo in range(0, len(starts), settings.slab):
+        wanted = np.flatnonzero(full[lo : lo + settings.slab])
+        if len(wanted):
+            hi = min(lo + settings.slab + length - 1, len(hashes))
+            vectors = _runs(index.projection[terms[lo:hi]], length, np.add)[wanted]
+            own = _runs(marks[lo:hi], length, np.bitwise_or)[wanted]
+            at = wanted + lo
+            yield from chosen(sliding_window_view(narrow, length)[at], vectors, own, at, of[at])
+    # A text shorter than a passage is one, if it can hold enough of an item.
+    short = np.flatnonzero((words.counts >= settings.shared) & (words.counts < length))
+    for lo in range(0, len(short), settings.slab):
+        doc = short[lo : lo + settings.slab]
+        at = words.first[doc]
+        index_of = at[:, None] + np.arange(length)
+        inside = index_of < words.first[doc + 1][:, None]
+        index_of = np.minimum(index_of, len(hashes) - 1)
+        rows = np.where(inside, narrow[index_of], 0)
+        vectors = _embedded(np.where(inside, terms[index_of], settings.terms), index.projection)
+        yield from chosen(rows, vectors, _bits(rows), at, doc)
+
+
+def _found(batch: pa.RecordBatch, index: Index, items: Items) -> dict[tuple[int, int], tuple[float, bool, float | None]]:
+    """Share, answer and cosine of each leak, by row of the batch and item; short items have no cosine."""
+    settings = index.settings
+    words, hashes, _ = _normal(batch.column("text"))
+    best: dict[tuple[int, int], tuple[float, bool, float | None]] = {}
+    known: dict[tuple[int, int, int], tuple[float, bool, bool]] = {}
+
+    def checked(item: int, d: int, start: int, slack: int) -> tuple[float, bool, bool]:
+        lo, hi = max(int(words.first[d]), start - slack), min(int(words.first[d + 1]), start + len(items.words[item]) + slack)
+        if (item, lo, hi) not in known:
+            known[item, lo, hi] = _checked(items.words[item], items.answers[item], hashes[lo:hi], settings)
+        return known[item, lo, hi]
+
+    for near in _near(words, hashes, index, items):
+        for at, d, passage, cosine in zip(near.at.tolist(), near.doc.tolist(), near.passage.tolist(), near.cosine.tolist()):
+            item = int(items.item[passage])
+            share, there, leak = checked(item, d, at - int(items.start[passage]), _slack(len(items.words[item])))
             if leak:
-                found = (share, there, float(cosine[i - lo, j]))
+                found = (share, there, cosine)
                 best[d, item] = max(best.get((d, item), found), found)
     for item, d, start in _anchors(hashes, words, items.rare, settings):
-        slack = _lookup_slack(len(items.words[item]), settings)
-        share, there, leak = checked(item, d, start, slack)
+        share, there, leak = checked(item, d, start, _short_slack(len(items.words[item])))
         if leak and ((d, item) not in best or (share, there) > best[d, item][:2]):
-            cosine = best[d, item][2] if (d, item) in best else _closest(words, hashes, d, *region(item, d, start, slack), item, index, items)
-            best[d, item] = (share, there, cosine)
+            best[d, item] = (share, there, None)
     return best
 
 
@@ -478,7 +546,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     ``lcs`` is the share of the item's words, in lower case and without a trailing mark, that
     the document holds in order around the place found. A document leaks an item if that is
     ``whole`` or more, or ``partial`` or more and the item's answer (its last sentence) is
-    there too. Needs ``doc_id`` and ``text`` of documents, ``item_id`` and ``text`` of items;
+    there too. ``cosine`` is that of the closest passages, null for items shorter than a
+    passage, which are looked up by their words. Needs ``doc_id`` and ``text`` of documents, ``item_id`` and ``text`` of items;
     other columns are not read. Texts that are null or have no words hold nothing, and
     such items are in nothing. Documents without an id are reported with a null id, repeated
     rows once. An empty table on either side gives no rows.

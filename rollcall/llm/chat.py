@@ -98,13 +98,35 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
     )
 
 
+def log_of_turns(turns: DataFrame) -> DataFrame:
+    """The log of a chat in which the turns ``(conv_id, turn, role, text)`` came about with detours.
+
+    Each is drafted, answered by a message that must not stay, regenerated, streamed with
+    a wrong ending, edited to its first third, and streamed on. Rows of equal turn go by
+    role and a hash of the text, nulls first; each row is a message of its own, repeated ones too.
+    """
+    text, size = F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
+    third, rest = F.floor(size / 3).cast("int"), F.floor(2 * size / 3).cast("int")
+    begin, middle = F.substring(text, F.lit(1), third), F.substring(text, third + 1, rest - third)
+    steps = [
+        (DELTA, F.substring(text, F.lit(1), F.floor(size / 2).cast("int"))), (MESSAGE, F.lit("not this one")), (REGENERATE, F.lit(None)),
+        (DELTA, F.concat(begin, F.lit(" no, wrong"))), (EDIT, begin), (DELTA, middle), (DELTA, F.substring(text, rest + 1, size - rest)),
+    ]
+    each = [F.struct(F.lit(i).alias("step"), F.lit(kind).alias("kind"), said.cast("string").alias("text")) for i, (kind, said) in enumerate(steps)]
+    rows = turns.withColumn("row", F.monotonically_increasing_id())
+    seq = F.struct("turn", "role", F.xxhash64("text").alias("said"), "row", "event.step").alias("seq")
+    return rows.withColumn("event", F.explode(F.array(*each))).select(
+        "conv_id", seq, F.col("event.kind").alias("kind"), F.col("row").cast("string").alias("message"), "role", F.col("event.text").alias("text")
+    )
+
+
 SCHEMA = "conv_id bigint, n_turns bigint, formatted string, loss_spans array<struct<start: bigint, end: bigint>>"
 
 
 def format_conversations(events: DataFrame) -> DataFrame:
     """One row per conversation: ``conv_id, n_turns, formatted, loss_spans`` (code points, end exclusive).
 
-    Needs ``conv_id, seq, kind, message, role, text``; other columns are not read. Rows
+    Needs ``conv_id, seq`` (of any type that sorts), ``kind, message, role, text``; other columns are not read. Rows
     with a null ``conv_id`` make up one conversation. A null seq comes first; ties go by
     kind, message, role and text, nulls first, so repeated events stay and reruns agree. A
     null kind counts as ``message``, a null role or text as empty. Edits and regenerations

@@ -44,9 +44,9 @@ def op2_doubling_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation, and one made of marks, rendered and read back."""
+    """Every conversation, and one made of marks, logged with drafts, streams, edits and regenerations, folded, rendered and read back."""
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    events = chat.events_of_turns(turns.unionByName(chat.hostile_turns(spark)))
+    events = chat.log_of_turns(turns.unionByName(chat.hostile_turns(spark)))
     return chat.digests(chat.format_conversations(events))
 
 

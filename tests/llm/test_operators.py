@@ -622,6 +622,22 @@ def test_mixture_keeps_odd_columns_apart_and_row_order_does_not_matter(spark):
         assert sorted(map(tuple, mixing.mixed_texts(frame.orderBy(F.rand(seed)).repartition(3)).collect()), key=str) == first
 
 
+def test_log_with_detours_folds_to_the_turns(spark):
+    """Every kind of event in every conversation, and the same messages as from whole ones."""
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    more = [(-1, 0, "user", None), (-1, 1, "assistant", ""), (-1, 2, "assistant", "é"), (-2, None, None, "ab"), (-2, 5, "user", LONG), (-2, 5, "user", LONG)]
+    more += [(None, 0, "user", "no id"), (-3, 1, "a", "<|im_end|>"), (-3, 1, "b", "x")]
+    turns = turns.unionByName(spark.createDataFrame(more, turns.schema)).unionByName(chat.hostile_turns(spark))
+    turns = turns.withColumn("row", F.lit(1)).withColumn("kind", F.lit("k")).withColumn("seq", F.lit(2))
+    log = chat.log_of_turns(turns)
+    kinds = log.groupBy("conv_id").agg(F.collect_set("kind").alias("kinds"))
+    assert all(set(r.kinds) == {chat.MESSAGE, chat.DELTA, chat.EDIT, chat.REGENERATE} for r in kinds.collect())
+    folded = chat.digests(chat.format_conversations(log))
+    whole = chat.digests(chat.format_conversations(chat.events_of_turns(turns)))
+    assert sorted(map(tuple, folded.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    assert chat.digests(chat.format_conversations(chat.log_of_turns(turns.limit(0)))).collect() == []
+
+
 def test_field_learns_from_all_parts_of_long_texts(spark):
     """Runs come from whole texts, and the same ones however rows lie and ids repeat."""
     docs = [(i, "\n".join(f"This is a clean line number {j} of it." for j in range(700)) if i % 2 else "\n".join("### || !! 99 ##" for _ in range(700))) for i in range(12)]

@@ -14,7 +14,7 @@ from rollcall.operators.shaping import pivot_last, widen
 from rollcall.plans.event import number_tickets, raw_report
 from rollcall.session import scratch_path
 from rollcall.sources import registrations
-from rollcall.sources.catalogue import answered_texts, choice_texts, question_ids
+from rollcall.sources.catalogue import answered_texts, choice_texts, question_ids, with_unique_texts
 from rollcall.sources.pages import ORDER, check_complete, read_pages
 
 ORDER_FIELDS = ["page_no", "order_pos", "order_code", "status", "email", "total", "date",
@@ -209,11 +209,9 @@ select p_partkey, case when n = 1 then p_name else p_name || ' (#' || cast(n as
 from (select p_partkey, p_name, row_number() over (partition by p_name order by p_partkey) as n from part)
 """)
 def unique_names(spark, sf):
-    numbered = number_rows(
-        table(spark, sf, "part").select("p_partkey", "p_name"), ["p_partkey"], into="n", group=["p_name"]
-    )
-    suffix = F.when(F.col("n") == 1, "").otherwise(F.concat(F.lit(" (#"), "n", F.lit(")")))
-    return numbered.select("p_partkey", F.concat("p_name", suffix).alias("name"))
+    """Equal texts told apart by a suffix, in the order of their ids."""
+    parts = table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("name"))
+    return with_unique_texts(parts, "name", ["p_partkey"])
 
 
 @query("""

@@ -70,7 +70,7 @@ def blanks_to_null(df: DataFrame, except_for: Iterable[str] = ()) -> DataFrame:
 
 def unique_name(base: str, taken: Iterable[str]) -> str:
     """``base``, or the first of ``base (#2)``, ``base (#3)``, ... that is free."""
-    used = set(taken)
+    used = taken if isinstance(taken, (set, frozenset)) else set(taken)
     options = chain([base], (f"{base} (#{n})" for n in count(2)))
     return next(name for name in options if name not in used)
 

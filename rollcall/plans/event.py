@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollcall import __version__
 from rollcall.operators.counting import LABEL, choices_and_observed
@@ -16,9 +18,10 @@ from rollcall.operators.numbering import number_rows
 from rollcall.operators.shaping import quoted, widen
 from rollcall.plans import camp_h, camp_l, camp_t, day_j
 from rollcall.plans.common import CountSpec, Family, Known
-from rollcall.plans.spec import NUMBER, EventConfig, ReportSpec, run_spec
+from rollcall.plans.spec import NUMBER, EventConfig, ReportSpec, lint, run_spec
 from rollcall.session import configure, pin, scratch
 from rollcall.sinks.reports import (
+    FOLDER,
     append_rows,
     check_manifest,
     manifest,
@@ -38,6 +41,7 @@ from rollcall.sources.catalogue import (
     read_question_details,
     read_questions,
     wide_columns,
+    with_unique_texts,
 )
 from rollcall.sources.landings import Landing, Seen, all_parsed, look
 from rollcall.sources.pages import check_complete
@@ -76,17 +80,23 @@ def number_tickets(flat: DataFrame) -> DataFrame:
     return number_rows(require_rows(tickets(parsed)), ORDINAL, into=NUMBER, start=0)
 
 
-def read_inputs(spark: SparkSession, family: Family, landing: Landing, seen: Seen) -> Inputs:
-    """The collections of a snapshot, of which pages were read now are not parsed again."""
+def read_inputs(
+    spark: SparkSession, family: Family, landing: Landing, seen: Seen, config: EventConfig = EventConfig()
+) -> Inputs:
+    """The collections of a snapshot; pages of orders that were read now are not parsed again."""
     questions = read_questions(spark, landing.path("questions"), landing.lines)
     details = read_question_details(spark, landing.path("question_details"))
     check_details(questions, details, family.place_question)
+    # Choices are those of all questions of the text, however their columns are named.
+    choices = family.edit_choices(read_choices(questions, details, family.place_question))
+    if config.dedup == "suffix":
+        questions = pin(with_unique_texts(questions), "questions")
     return Inputs(
         positions=all_parsed(spark, landing, seen),
         items=read_items(spark, landing.path("items"), landing.lines),
         questions=questions,
         known=question_ids(questions, family.questions),
-        choices=family.edit_choices(read_choices(questions, details, family.place_question)),
+        choices=choices,
     )
 
 
@@ -148,6 +158,24 @@ def published(df: DataFrame) -> DataFrame:
     return df.select([quoted(c) for c in df.columns if c not in ORDINAL])
 
 
+SCHEMA_SCHEMA = "run_id string, path string, schema string"
+
+
+def _available(spec: ReportSpec, clean: DataFrame, reports: Mapping[str, tuple]) -> list[str]:
+    return clean.columns if spec.source == "clean" else reports[spec.source][1].columns
+
+
+def _stored_schema(spec: ReportSpec | CountSpec, shown: DataFrame) -> str:
+    """The schema a report is read back with; that of groups has their folder besides."""
+    grouped = getattr(spec, "group", None) is not None
+    return (shown.withColumn(FOLDER, F.lit("")) if grouped else shown).schema.json()
+
+
+def _append(spark: SparkSession, rows: list[tuple], schema: str, path: str) -> None:
+    if rows:
+        append_rows(spark.createDataFrame(rows, schema).coalesce(1), path)
+
+
 def write_reports(
     family: Family, inputs: Inputs, config: EventConfig, root: str, run_id: str, out: str
 ) -> None:
@@ -160,6 +188,11 @@ def write_reports(
     clean = pin(clean_table(family, tickets_in_order, inputs.known, config), "clean")
     reports = build_reports(family, clean, inputs.choices, hold=pin)
 
+    notes = [n for spec, _ in reports.values() if isinstance(spec, ReportSpec) for n in lint(spec, _available(spec, clean, reports))]
+    _append(spark, [(run_id, n) for n in notes], "run_id string, note string", f"{out}/_notes")
+    schemas = [(run_id, spec.path, _stored_schema(spec, published(df))) for spec, df in reports.values()]
+    _append(spark, [(run_id, raw_name, raw.schema.json()), *schemas], SCHEMA_SCHEMA, f"{out}/_schemas")
+
     written = [(raw_name, raw)]
     write_report(raw, f"{root}/{raw_name}", fmt, NUMBER if fmt == "csv" else None)
     groups = None
@@ -201,7 +234,7 @@ def state_of(seen: Seen, family: Family, config: EventConfig) -> str:
     Besides the landed pages these are what the family, the configuration and this
     version make of them.
     """
-    shown = (config.time_zone, config.width_cap, config.report_format, config.blank_is_null)
+    shown = (config.time_zone, config.width_cap, config.report_format, config.blank_is_null, config.dedup)
     parts = [seen.checksum, family.name, family.place_question, *map(str, shown), __version__]
     return hashlib.sha256("\n".join(parts).encode()).hexdigest()
 
@@ -222,6 +255,7 @@ def run_event(
     has read before are not even opened for that (``sources.landings``). Tables pinned
     on the way are removed at the end.
     """
+    as_before = spark.conf.get("spark.sql.caseSensitive")
     configure(spark, case_sensitive=True)
     run_id = run_id or uuid.uuid4().hex
     rows = checksum = None
@@ -232,12 +266,14 @@ def run_event(
             if last and last["status"] != FAILED and last["checksum"] == state:
                 outcome, error = UNCHANGED, None
             else:
-                inputs = read_inputs(spark, family, landing, seen)
+                inputs = read_inputs(spark, family, landing, seen, config)
                 write_reports(family, inputs, config, f"{out}/{run_id}", run_id, out)
                 outcome, error = SUCCESS, None
             rows, checksum = seen.rows, state
     except Exception as e:  # the run log takes every failure, as the next run depends on it
         outcome, error = FAILED, f"{type(e).__name__}: {e}"
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", as_before)
     record_run(spark, out, run_id, config.time_zone, outcome, error, rows, checksum)
     return outcome
 
@@ -247,4 +283,10 @@ def current_report(spark: SparkSession, out: str, path: str, fmt: str = "parquet
     run = last_run(spark, out, SUCCESS)
     if run is None:
         raise ValueError(f"no successful run in {out}")
-    return spark.read.format(fmt).option("header", True).load(f"{out}/{run['run_id']}/{path}")
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        # Written as text: read with the types it had, and over line breaks inside texts.
+        known = spark.read.schema(SCHEMA_SCHEMA).parquet(f"{out}/_schemas")
+        schema = known.where((F.col("run_id") == run["run_id"]) & (F.col("path") == path)).first()["schema"]
+        reader = reader.schema(T.StructType.fromJson(json.loads(schema))).options(header=True, multiLine=True)
+    return reader.load(f"{out}/{run['run_id']}/{path}")

@@ -45,7 +45,11 @@ class Ranked:
 
 @dataclass(frozen=True)
 class EventConfig:
-    """What differs between two deployments of one family."""
+    """What differs between two deployments of one family.
+
+    ``dedup`` says what becomes of questions with equal texts: ``last`` lets them share a
+    column, where the last answer wins, ``suffix`` gives each one of its own, ``x (#2)``.
+    """
 
     time_zone: str = "Europe/Berlin"
     width_cap: int = 30
@@ -53,6 +57,7 @@ class EventConfig:
     run_once: bool = False
     report_format: str = "parquet"
     blank_is_null: bool = True
+    dedup: str = "last"
     status_folder: str = "Technische_Details"
 
 

@@ -13,7 +13,7 @@ from rollcall.functions.text import blank_to_null
 from rollcall.operators.counting import LABEL, POSITION
 from rollcall.operators.lookup import lookup_name, matching_text
 from rollcall.operators.numbering import number_rows
-from rollcall.operators.shaping import unique_name
+from rollcall.operators.shaping import quoted, unique_name
 from rollcall.sources.pages import ITEM, QUESTION, read_pages, records
 from rollcall.sources.registrations import UNNAMED
 
@@ -106,12 +106,21 @@ def wide_columns(answered: list[str], catalogue: list[str], fixed: list[str]) ->
     Only a question that nobody answered can meet a taken name; it gets a suffix.
     """
     names = {text: text for text in answered}
+    taken = {*fixed, *answered}
     for text in catalogue:
         if text not in names:
-            names[text] = unique_name(text, [*fixed, *names.values()])
+            names[text] = unique_name(text, taken)
+            taken.add(names[text])
     return names
 
 
+def with_unique_texts(questions: DataFrame, text: str = "text", order: Sequence[str] = ("page_no", "record_pos")) -> DataFrame:
+    """Equal texts told apart: ``x``, ``x (#2)``, ``x (#3)`` in catalogue order; null texts stay."""
+    numbered = number_rows(questions, list(order), into="__n", group=[text])
+    suffix = F.when(F.col("__n") == 1, "").otherwise(F.concat(F.lit(" (#"), "__n", F.lit(")")))
+    return numbered.withColumn(text, F.concat(quoted(text), suffix)).drop("__n")
+
+
 def read_question_details(spark: SparkSession, path: str) -> DataFrame:
     """Free-form question documents, one per file: ``id, document``."""
     return spark.read.text(path, wholetext=True).select(

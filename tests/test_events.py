@@ -326,3 +326,36 @@ def test_csv_reports(spark, camp_h_event, folder):
     assert run_event(spark, camp_h.FAMILY, Landing(camp_h_event), out, config) == "success"
     diet = current_report(spark, out, "Küche", "csv")
     assert "'+49 1" in {r["Sorgeberechtigter"] for r in diet.collect()}
+
+
+def test_csv_reports_read_back_as_they_were(spark, folder):
+    e = event_of(camp_h, DEFAULT_CHOICES[camp_h])
+    orders = [order("B1", [e.ticket(1, "two\nlines", 'a "b", c', {"Zu-/Ausstieg": "Süd"}), e.ticket(2, "x", "y", {"Zu-/Ausstieg": "Süd"})])]
+    landing, got = Landing(e.land(f"{folder}/in", orders)), {}
+    for fmt in ("csv", "parquet"):
+        assert run_event(spark, camp_h.FAMILY, landing, f"{folder}/{fmt}", replace(CONFIG, report_format=fmt)) == "success"
+        for name in ("Teilnehmerdaten", "Nach_Orten", "Anmeldezahlen"):
+            report = current_report(spark, f"{folder}/{fmt}", name, fmt)
+            got[fmt, name] = ([(f.name, f.dataType) for f in report.schema.fields], sorted(map(tuple, report.collect()), key=str))
+    assert all(got["csv", name] == got["parquet", name] for _, name in got) and len(got["csv", "Teilnehmerdaten"][1]) == 2
+    assert spark.conf.get("spark.sql.caseSensitive") == "false"
+    notes = [r.note for r in spark.read.parquet(f"{folder}/csv/_notes").collect()]
+    assert "Sani: no column 'Ortsteil'" in notes
+
+
+def test_equal_questions_get_columns_of_their_own(spark, folder):
+    """By the documented suffix, or sharing one column, where the last answer wins."""
+    texts = [*camp_h.QUESTIONS, "Doppelt"]
+    e = event_of(camp_h, DEFAULT_CHOICES[camp_h], texts)
+    root = e.land(f"{folder}/in", [order("B1", [e.ticket(1, "v", "n", {"Zu-/Ausstieg": "Süd", "Doppelt": "first"})])])
+    extra = json.load(open(f"{root}/questions/page-000002.json", encoding="utf-8"))
+    extra["results"].append({"id": 900, "question": {"de": "Doppelt"}})
+    write_json(f"{root}/questions/page-000002.json", extra)
+    tickets = json.load(open(f"{root}/orders/page-000001.json", encoding="utf-8"))
+    tickets["results"][0]["positions"][0]["answers"].append({"question": 900, "answer": "second"})
+    write_json(f"{root}/orders/page-000001.json", tickets)
+    for dedup, expected in (("last", {"Doppelt": "second"}), ("suffix", {"Doppelt": "first", "Doppelt (#2)": "second"})):
+        out = f"{folder}/{dedup}"
+        assert run_event(spark, camp_h.FAMILY, Landing(root), out, replace(CONFIG, dedup=dedup)) == "success"
+        raw = current_report(spark, out, "Unsortiert/Rohdaten").first().asDict()
+        assert {c: v for c, v in raw.items() if c.startswith("Doppelt")} == expected

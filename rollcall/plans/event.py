@@ -239,6 +239,11 @@ def state_of(seen: Seen, family: Family, config: EventConfig) -> str:
     return hashlib.sha256("\n".join(parts).encode()).hexdigest()
 
 
+def was_stopped(error: Exception) -> bool:
+    """Whether a run ended because somebody ended it, which is no outcome of its own."""
+    return any(sign in str(error) for sign in ("cancelled as part of cancellation", "InterruptedException", "SparkContext was shut down"))
+
+
 def run_event(
     spark: SparkSession,
     family: Family,
@@ -251,9 +256,10 @@ def run_event(
 
     Reports go to a folder of their own per run. They become current with the run
     record, so that a run that fails half way changes nothing for readers. Input
-    that equals the last one is skipped, unless the last run failed; pages that a run
-    has read before are not even opened for that (``sources.landings``). Tables pinned
-    on the way are removed at the end.
+    that equals the last one is skipped, unless the last run failed. A run that somebody
+    stops leaves no record, as it has no outcome. For the check of changes, pages that a run
+    has read before are not even opened (``sources.landings``). Tables pinned on the way
+    are removed at the end.
     """
     as_before = spark.conf.get("spark.sql.caseSensitive")
     configure(spark, case_sensitive=True)
@@ -271,6 +277,8 @@ def run_event(
                 outcome, error = SUCCESS, None
             rows, checksum = seen.rows, state
     except Exception as e:  # the run log takes every failure, as the next run depends on it
+        if was_stopped(e):
+            raise
         outcome, error = FAILED, f"{type(e).__name__}: {e}"
     finally:
         spark.conf.set("spark.sql.caseSensitive", as_before)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollcall.functions import text, times, values
-from rollcall.functions.nested import pick_label, union_id, variant_id
+from rollcall.functions.nested import embedded, pick_label, union_id, variant_id
 
 
 def one(spark, value, expr, kind="string"):
@@ -165,3 +165,21 @@ def test_nested_values(spark):
     labels = ['{"de":"","en":"Yes"}', '{"fr":"F","en":"E"}', '{"en":"E","de":"D"}', "{}", None]
     pick = lambda c: pick_label(F.from_json(c, "map<string,string>"))
     assert column(spark, labels, pick) == ["", "F", "D", None, None]
+
+
+def test_objects_are_told_from_bare_ids_before_they_are_parsed(spark):
+    ids = [("7", 7), (" 8 ", 8), ('{"id":9}', 9), (' \n{"id": 10}', 10), ("x", None), ("", None), (None, None), ("[1]", None)]
+    assert column(spark, [v for v, _ in ids], union_id) == [w for _, w in ids]
+    # To the parser a bare id is a broken record, which is a struct of nulls.
+    named = column(spark, ["7", "x", '\t{"id":1,"name":{"de":"a"}}'], embedded)
+    assert [n if n is None else n["name"] for n in named] == [None, None, {"de": "a"}]
+
+
+def test_blank_to_null_walks_no_text_that_only_spaces_surround(spark):
+    values_ = ["  a b ", " a　", " ü ", "\t", "   ", "", None, "a\x7f", "\x85 x \x1f"]
+    expected = [v and (v.strip() or None) or None for v in values_]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values_)], "i int, v string")
+    shown = df.select("i", text.blank_to_null("v").alias("v"))
+    assert [r["v"] for r in shown.orderBy("i").collect()] == expected
+    plan = shown._jdf.queryExecution().optimizedPlan().toString()
+    assert "trim(v" in plan.split(" AND ")[0]

@@ -164,10 +164,11 @@ def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
 def run(spark: SparkSession, sf: str, family: Family, name: str) -> DataFrame:
     """One report; only the reports it is made from are computed before."""
     raw = tickets(spark, sf, family.name)
-    if name == "Alles":
-        raw = number_rows(raw.drop(NUMBER), ORDINAL, into=NUMBER, start=0)
     known = {text: [i] for i, text in enumerate(answered_by(family.name))}
     clean = family.clean(raw, known, EventConfig())
+    if name == "Alles":
+        # The clean row is a fraction of the ticket with its answers, of which none is exchanged.
+        clean = number_rows(pin(clean.drop(NUMBER), "clean"), ORDINAL, into=NUMBER, start=0)
     first = needed_reports(family, name)[0]
     if isinstance(first, ReportSpec) and first.order and first.ties == ORDINAL:
         # Numbering scans its input for the sort key, which is cheaper than to make it each time.

@@ -250,3 +250,17 @@ def test_fingerprint_sees_a_value_moved_between_null_answers(spark):
 
     assert of("map('x', null, 'y', 'z')") != of("map('x', 'y', 'z', null)")
     assert of("map('x', null, 'y', 'z')") == of("map('y', 'z', 'x', null)")
+
+
+def test_answers_are_read_in_place_without_a_map(spark):
+    schema = "n int, answers array<struct<id:bigint,answer:string>>"
+    given = [(1, [(1, "a"), (2, None), (None, "x"), (1, "b")]), (2, []), (3, None), (4, [(2, "c"), (3, "d"), (2, "e"), (3, None)])]
+    df = spark.createDataFrame(given, schema)
+    wide = shaping.widen(df, "answers", {"A": "A", "B": "B", "C": "n"}, ["A", "B", "C"], ids={"A": [1], "B": [2], "C": [3]})
+    found = sorted(map(tuple, wide.collect()), key=str)
+    assert found == sorted([("1", "b", None), ("2", None, None), ("3", None, None), (None, None, "e")], key=str)
+    assert "map_from_entries" not in wide._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_range_is_small_enough_for_one_task():
+    assert Ranging().rows <= 1 << 18

@@ -96,3 +96,11 @@ def test_scratch_folder(spark):
     assert session.scratch_path(spark, "x").startswith(f"{named}/rollcall/")
     df = session.pin(spark.range(10), "ten")
     assert df.count() == 10 and f"{named}/rollcall/" in df.inputFiles()[0]
+
+
+def test_a_sorted_report_has_as_many_ranges_as_its_rows_need(spark, folder, monkeypatch):
+    monkeypatch.setattr(reports, "RANGING", reports.RANGING.__class__(rows=50))
+    reports.write_report(spark.range(1000).withColumnRenamed("id", "Nr"), f"{folder}/r", "csv", "Nr")
+    # More than the four that the session shuffles to.
+    assert len([f for f in os.listdir(f"{folder}/r") if f.startswith("part-")]) > 10
+    assert [r["Nr"] for r in spark.read.option("header", True).csv(f"{folder}/r").collect()].count("7") == 1

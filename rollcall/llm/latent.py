@@ -81,7 +81,10 @@ def _normal(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
 
 
 def _passages(words: Words, stops: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Last word of each passage, and its document."""
+    """First word of each passage, and the word after its last one; every word is in a passage.
+
+    A passage shorter than ``words`` takes words of its document before it.
+    """
     total = len(words.starts)
     if not total:
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -94,23 +97,17 @@ def _passages(words: Words, stops: np.ndarray, settings: Settings) -> tuple[np.n
     extra = (runs - 1) // settings.longest
     forced = np.repeat(before, extra) + settings.longest * (np.arange(int(extra.sum())) - np.repeat(np.cumsum(extra) - extra, extra) + 1)
     ends[forced] = True
-    at = np.flatnonzero(ends)
-    return at, np.searchsorted(words.first, at, side="right") - 1
-
-
-def _rows(at: np.ndarray, doc: np.ndarray, words: Words, values: np.ndarray, length: int, nothing: int) -> np.ndarray:
-    """The values of the words of each passage, last word last; before the text begins ``nothing``."""
-    if not len(at):
-        return np.empty((0, length), dtype=values.dtype)
-    index = at[:, None] + np.arange(1 - length, 1)
-    return np.where(index >= words.first[doc][:, None], values[np.maximum(index, 0)], nothing)
+    after = np.flatnonzero(ends) + 1
+    begin = np.minimum(np.append(0, after[:-1]), after - settings.words)
+    return np.maximum(begin, words.first[np.searchsorted(words.first, after - 1, side="right") - 1]), after
 
 
-def _terms_of(column: pa.Array, settings: Settings):
+def _terms_of(column: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of all passages, one passage after the other, and how many each has."""
     words, hashes, stops = _normal(column)
-    at, doc = _passages(words, stops, settings)
-    terms = (hashes % np.uint64(settings.terms)).astype(np.int32)
-    return words, hashes, at, doc, _rows(at, doc, words, terms, settings.words, settings.terms)
+    begin, after = _passages(words, stops, settings)
+    terms, counts = (hashes % np.uint64(settings.terms)).astype(np.int32), after - begin
+    return terms[np.repeat(begin, counts) + positions(counts)], counts
 
 
 def _document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarray, int]:
@@ -119,11 +116,13 @@ def _document_frequencies(docs: DataFrame, settings: Settings) -> tuple[np.ndarr
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(settings.terms + 2, dtype=np.int64)
         for batch in small(batches, rows=1024):
-            terms = np.sort(_terms_of(batch.column("text"), settings)[4], axis=1)
-            again = np.zeros(terms.shape, dtype=bool)
-            again[:, 1:] = terms[:, 1:] == terms[:, :-1]
-            seen[:-1] += np.bincount(terms[~again], minlength=settings.terms + 1)
-            seen[-1] += len(terms)
+            terms, counts = _terms_of(batch.column("text"), settings)
+            # Sorted by passage, then by term, of which the first one counts.
+            keys = np.sort(np.repeat(np.arange(len(counts)) * settings.terms, counts) + terms)
+            again = np.zeros(len(keys), dtype=bool)
+            again[1:] = keys[1:] == keys[:-1]
+            seen[:-1] += np.bincount(keys[~again] % settings.terms, minlength=settings.terms + 1)
+            seen[-1] += len(counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(seen))), pa.array(seen)], names=["term", "n"])
 
     rows = docs.select("text").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
@@ -145,28 +144,44 @@ def _embedded(terms: np.ndarray, projection: np.ndarray) -> np.ndarray:
     return out
 
 
+def _summed(terms: np.ndarray, begins: np.ndarray, counts: np.ndarray, projection: np.ndarray) -> np.ndarray:
+    """Sum of the projected terms of each passage, the longest passages first while it adds up."""
+    order = np.argsort(-counts, kind="stable")
+    starts, longer = begins[order], len(counts) - np.searchsorted(counts[order[::-1]], np.arange(counts.max(initial=0)), side="right")
+    out = np.zeros((len(counts), projection.shape[1]), dtype=np.float32)
+    for j, n in enumerate(longer.tolist()):
+        out[:n] += projection[terms[starts[:n] + j]]
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
 def _applied(sample: DataFrame, idf: np.ndarray, basis: np.ndarray, settings: Settings) -> np.ndarray:
     """``A^T A basis`` for the matrix A of unit TF-IDF rows; summed up by blocks of terms in Spark."""
-    width, block, length = basis.shape[1], 512, settings.words
+    width, block, kind = basis.shape[1], 512, np.min_scalar_type(settings.terms)
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((settings.terms + 1, width))
-        weight = np.append(idf, 0.0)
+        out = np.zeros((settings.terms, width))
+        squares, projection = idf**2, _weighted(idf, basis)
         for batch in batches:
-            terms = np.frombuffer(b"".join(batch.column("terms").to_pylist()), dtype=np.int32).reshape(-1, length)
-            for lo in range(0, len(terms), 1 << 14):
-                part = terms[lo : lo + (1 << 14)]
-                norm = np.maximum(np.sqrt((weight[part] ** 2).sum(axis=1)), 1e-9)
-                y = _embedded(part, _weighted(idf, basis)) / norm[:, None] ** 2
-                flat = part.ravel()
-                order = np.argsort(flat, kind="stable")
-                begins = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
-                out[flat[order][begins]] += np.add.reduceat(y[order // length], begins, axis=0)
-        out = out[:-1] * idf[:, None]
+            terms = np.frombuffer(b"".join(batch.column("terms").to_pylist()), dtype=np.int32)
+            counts = np.frombuffer(b"".join(batch.column("counts").to_pylist()), dtype=np.int64)
+            first = np.append(0, np.cumsum(counts))
+            for lo in range(0, len(counts), 1 << 13):
+                n = counts[lo : lo + (1 << 13)]
+                part = terms[first[lo] : first[lo + len(n)]]
+                begins = first[lo : lo + len(n)] - first[lo]
+                norm = np.maximum(np.sqrt(np.add.reduceat(squares[part], begins)), 1e-9)
+                y = _summed(part, begins, n, projection) / (norm[:, None] ** 2).astype(np.float32)
+                order = np.argsort(part.astype(kind), kind="stable")
+                ordered = part[order]
+                each = np.flatnonzero(np.append(True, np.diff(ordered) != 0))
+                out[ordered[each]] += np.add.reduceat(y[np.repeat(np.arange(len(n)), n)[order]], each, axis=0)
+        out = out * idf[:, None]
         pieces = [out[a : a + block].tobytes() for a in range(0, settings.terms, block)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(pieces)), pa.int32()), pa.array(pieces, pa.binary())], names=["block", "sums"])
 
@@ -204,10 +219,12 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Index:
 
     def passages_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            terms = _terms_of(batch.column("text"), settings)[4]
-            yield pa.RecordBatch.from_arrays([pa.array([terms.tobytes()], pa.binary())], names=["terms"])
+            terms, counts = _terms_of(batch.column("text"), settings)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([terms.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["terms", "counts"]
+            )
 
-    sample = pin(chosen.mapInArrow(passages_of, "terms binary"), "passages")
+    sample = pin(chosen.mapInArrow(passages_of, "terms binary, counts binary"), "passages")
     basis = np.random.default_rng(settings.seed).standard_normal((settings.terms, settings.rank + settings.oversample))
     for _ in range(settings.iterations):
         basis = np.linalg.qr(_applied(sample, idf, basis, settings))[0]

@@ -8,6 +8,7 @@ import string
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
@@ -457,6 +458,34 @@ def test_leaks(spark, odd, documents):
     assert latent.leaks(odd, odd_items).count() == 0 and latent.without_leaks(odd, odd_items).count() == len(ODD)
 
 
+def test_passages_are_fitted_whole(spark):
+    """Document frequencies and the matrix of the directions against passages cut one by one; sentences may be long."""
+    rnd, settings = random.Random(13), latent.Settings(terms=64)
+    sentence = lambda n: " ".join(rnd.choice(string.ascii_lowercase) + str(rnd.randrange(40)) for _ in range(n)) + "."
+    texts = [" ".join(sentence(rnd.choice([1, 5, 20, 24, 25, 70])) for _ in range(k)) + " and so on" for k in range(12)] + ["", "one", sentence(20)]
+    whole = []
+    for text in texts:
+        _, hashes, stops = latent._normal(pa.array([text]))
+        own, begin = (hashes % np.uint64(settings.terms)).astype(int).tolist(), 0
+        for end in range(1, len(own) + 1):
+            if end == len(own) or stops[end - 1] or end - begin == settings.longest:
+                whole.append(own[max(0, min(begin, end - settings.words)) : end])
+                begin = end
+    assert max(map(len, whole)) > settings.words > min(map(len, whole))
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    seen, passages = latent._document_frequencies(docs, settings)
+    assert passages == len(whole) and seen.tolist() == [sum(t in p for p in whole) for t in range(settings.terms)]
+
+    idf, basis = np.linspace(0.5, 2.0, settings.terms), np.random.default_rng(0).standard_normal((settings.terms, 3))
+    rows = np.zeros((len(whole), settings.terms))
+    for row, p in zip(rows, whole):
+        np.add.at(row, p, idf[p])
+        row /= np.sqrt((idf[p] ** 2).sum())
+    terms, counts = latent._terms_of(pa.array(texts), settings)
+    sample = spark.createDataFrame([(bytearray(terms.tobytes()), bytearray(counts.tobytes()))], "terms binary, counts binary")
+    assert latent._applied(sample, idf, basis, settings) == pytest.approx(rows.T @ (rows @ basis), rel=1e-4, abs=1e-4)
+
+
 def plain_words(text):
     return [w[:-1] if len(w) > 1 and w[-1] in ".,;:!?\"')" else w for w in text.lower().split()]
 

@@ -1,11 +1,13 @@
 """What the queries exchange and land."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
 from rollcall.harness import polling, reports
 from rollcall.plans import camp_h
+from rollcall.streaming import polling as streaming
 
 
 def test_the_clean_report_exchanges_no_answers(spark, monkeypatch):
@@ -23,3 +25,30 @@ def test_pages_land_compressed_and_can_be_landed_again(spark, folder):
     assert files and all(f.endswith(".gz") for f in files)
     again = polling._landed_again(spark, f"{folder}/s1")
     assert sorted(again.collect()) == sorted(pages.collect())
+
+
+def test_ticks_end_although_runs_take_longer_than_the_interval(spark, folder, monkeypatch):
+    """The query never rests between two triggers; it is stopped after two of its runs, none of them cut off."""
+    rows = spark.range(40).selectExpr(
+        "id as o_orderkey", "id % 7 as o_custkey", "substr('FOP', cast(id % 3 as int) + 1, 1) as o_orderstatus", "cast(id as double) as o_totalprice",
+        "timestamp_ntz'2025-01-05 10:00:00' as o_orderdate", "concat(id % 5 + 1, '-X') as o_orderpriority",
+    )
+    rows.write.parquet(f"{folder}/orders.parquet")
+    spark.range(7).selectExpr("id as c_custkey", "concat('C', id) as c_name").write.parquet(f"{folder}/customer.parquet")
+    spark.range(5).selectExpr("cast(id as int) as n_nationkey", "concat('NATION_', id) as n_name").write.parquet(f"{folder}/nation.parquet")
+    begun, ended, run_event = [], [], streaming.run_event
+
+    def slow(*args, **more):
+        begun.append(time.monotonic())
+        outcome = run_event(*args, **more)
+        if len(begun) > 3:
+            time.sleep(max(0.0, begun[-1] + 7 - time.monotonic()))
+        ended.append(outcome)
+        return outcome
+
+    monkeypatch.setattr(streaming, "run_event", slow)
+    monkeypatch.setattr(polling, "PATIENCE_SECONDS", 60)
+    got = {tuple(r) for r in polling.poll_ticks(spark, folder).collect()}
+    tickets = sum(i % 5 for i in range(40))
+    assert got == {(1, "failed", None, False), (2, "success", tickets, False), (3, "unchanged", tickets, False), (4, "unchanged", tickets, True)}
+    assert len(begun) == len(ended) <= 6

@@ -7,6 +7,7 @@ one of a few columns, so that the SQL below only has to name the column.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from rollcall.functions.text import BLANKS
 from rollcall.harness.registry import query, spread, table
 from rollcall.operators.counting import choice_frame
-from rollcall.operators.numbering import number_rows
+from rollcall.operators.numbering import deal, number_rows
 from rollcall.operators.shaping import quoted
 from rollcall.plans import camp_h, camp_l, camp_t, day_j
 from rollcall.plans.common import Family
@@ -132,23 +133,44 @@ def answered_by(family: str) -> dict[str, str]:
     return {q: given.get(q, others[i % 3]) for i, q in enumerate(MODULES[family].QUESTIONS)}
 
 
-def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
-    """Raw tickets: ordinal, fixed columns and the answers by question id."""
+def joined(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with what belongs to them, only columns that tickets are made from.
+
+    Orders find their customers, and lines their parts, before these two meet: neither
+    carries the columns of the other through an exchange.
+    """
     lineitem, orders, customer, nation, part = (
         table(spark, sf, n) for n in ("lineitem", "orders", "customer", "nation", "part")
     )
     lines = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ).join(part.select("p_partkey", "p_name", "p_type", "p_brand", "p_size"), F.col("l_partkey") == F.col("p_partkey"))
+    placed = (
+        orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        .join(customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation.select("n_nationkey", "n_name", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    joined = (
-        spread(lines, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
-    )
-    derived = joined.select(
-        *[F.expr(e).alias(c) for c, e in (PLACE | FIXED | ANSWERS).items()]
+    found = spread(lines, "l_orderkey").join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+    return found.drop("p_partkey", "o_orderkey", "c_custkey", "n_nationkey")
+
+
+def derived_columns(family: str) -> dict[str, str]:
+    """What tickets of a family are made of, each as an expression over the tables."""
+    return PLACE | FIXED | {a: ANSWERS[a] for a in answered_by(family).values()}
+
+
+def columns_read(family: str) -> set[str]:
+    """Columns of the tables that tickets of a family are made from."""
+    return set(re.findall(r"\b[cnlop]_\w+", " ".join(derived_columns(family).values()))) - {"o_orderkey"} | {"l_orderkey"}
+
+
+def tickets(rows: DataFrame, family: str, number: str | None = None) -> DataFrame:
+    """Raw tickets: ordinal, fixed columns and the answers by question id; ``number`` is a column that has one."""
+    rows = rows.withColumn("o_orderkey", F.col("l_orderkey"))
+    given = F.lit(0).cast("bigint") if number is None else F.col(number)
+    derived = rows.select(
+        *[F.expr(e).alias(c) for c, e in derived_columns(family).items()], given.alias(NUMBER)
     )
     answers = F.array(
         *[
@@ -156,19 +178,20 @@ def tickets(spark: SparkSession, sf: str, family: str) -> DataFrame:
             for i, a in enumerate(answered_by(family).values())
         ]
     )
-    return derived.select(
-        *PLACE, F.lit(0).cast("bigint").alias(NUMBER), *FIXED_COLUMNS, answers.alias("answers")
-    )
+    return derived.select(*PLACE, NUMBER, *FIXED_COLUMNS, answers.alias("answers"))
 
 
 def run(spark: SparkSession, sf: str, family: Family, name: str) -> DataFrame:
     """One report; only the reports it is made from are computed before."""
-    raw = tickets(spark, sf, family.name)
     known = {text: [i] for i, text in enumerate(answered_by(family.name))}
-    clean = family.clean(raw, known, EventConfig())
+    clean_of = lambda raw: family.clean(raw, known, EventConfig())
     if name == "Alles":
-        # The clean row is a fraction of the ticket with its answers, of which none is exchanged.
-        clean = number_rows(pin(clean.drop(NUMBER), "clean"), ORDINAL, into=NUMBER, start=0)
+        # A line with what belongs to it is a fraction of the clean row, which is made where its number is.
+        rows = pin(joined(spark, sf).select(sorted(columns_read(family.name))), "joined")
+        dealt = deal(rows, [F.expr(e) for e in PLACE.values()], into=NUMBER)
+        clean = number_rows(clean_of(tickets(dealt.rows, family.name, NUMBER)), ORDINAL, into=NUMBER, start=0, dealt=dealt)
+    else:
+        clean = clean_of(tickets(joined(spark, sf), family.name))
     first = needed_reports(family, name)[0]
     if isinstance(first, ReportSpec) and first.order and first.ties == ORDINAL:
         # Numbering scans its input for the sort key, which is cheaper than to make it each time.

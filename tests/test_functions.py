@@ -183,3 +183,29 @@ def test_blank_to_null_walks_no_text_that_only_spaces_surround(spark):
     assert [r["v"] for r in shown.orderBy("i").collect()] == expected
     plan = shown._jdf.queryExecution().optimizedPlan().toString()
     assert "trim(v" in plan.split(" AND ")[0]
+
+
+def test_formulas_and_ids_by_their_first_character(spark):
+    """Shortcuts for visible ASCII beginnings against the rules in Python."""
+    from rollcall.functions.nested import union_id
+    from rollcall.functions.text import BLANKS, FORMULA_SIGNS, escape_formula
+
+    begins = [*map(chr, range(1, 128)), *BLANKS, "Ä", "数", "🎲", ""]
+    texts = [None, *[a + b for a in begins for b in ("", "x", "=x", " @", "{}")]]
+    found = spark.createDataFrame([(t,) for t in texts], "t string").select("t", escape_formula("t").alias("e")).collect()
+    wanted = lambda t: t if t is None or not t.lstrip(BLANKS).startswith(FORMULA_SIGNS) else "'" + t
+    assert len(found) == len(texts) and all(r.e == wanted(r.t) for r in found)
+    ids = ["7", " 7", "-7", '{"id":7}', ' \t{"id":7}', "\r\n7", '{"id":"x"}', '"7"', "Ä", None]
+    got = [r.i for r in spark.createDataFrame([(i, t) for i, t in enumerate(ids)], "n int, t string").orderBy("n").select(union_id("t").alias("i")).collect()]
+    assert got == [7, 7, -7, 7, 7, 7, None, None, None, None]
+
+
+def test_nested_values_are_written_out_once(spark):
+    """The sums are those of the values themselves, and each is turned into JSON once."""
+    from rollcall.operators.changes import hash_sums, hashable
+
+    df = spark.createDataFrame([(1, [(1, "a"), (None, None)], {"k": None}), (2, None, {}), (3, [], None)], "i int, a array<struct<id:int,t:string>>, m map<string,string>")
+    sums = lambda d: d.agg(*[s.alias(n) for n, s in zip("xy", hash_sums(d))])
+    assert sums(hashable(df)).collect() == sums(df).collect()
+    written = lambda d: sums(d)._jdf.queryExecution().optimizedPlan().toString().lower().count("to_json")
+    assert written(hashable(df.select("a"))) < written(df.select("a"))
